@@ -157,9 +157,9 @@ def cpt_sql(source: str, node: str, parents=(), weight: str = "1", where: str =
     parents = sorted(parents)
     ok = " and ".join(f"{c} is not null" for c in [node, *parents])
     key = " || '|' || ".join(f"'{p}=' || cast({p} as varchar)" for p in parents) or "''"
-    return (f"select '{node}' as node, {key} as parent_key, cast({node} as varchar) as state, count(*) as n, "
-            f"sum({weight})::double as w, sum({weight})::double / sum(sum({weight})) over (partition by {key})::double as p "
-            f"from {source} where {ok} and {where} and {weight} > 0 group by all")
+    return (f"select node, parent_key, state, n, w, w / sum(w) over (partition by parent_key) as p from ("
+            f"select '{node}' as node, {key} as parent_key, cast({node} as varchar) as state, count(*) as n, sum({weight})::double as w "
+            f"from {source} where {ok} and {where} and {weight} > 0 group by all)")
 
 
 DN_FAMILIES = {"size_band": [], "o_orderpriority": [], "qty_band": ["size_band"], "any_return": ["qty_band", "size_band"]}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from posterion.functions.scalars import pack_state, quoted
-from posterion.operators.posterior import posterior
+from posterion.operators.posterior import pair_tables
 from posterion.plans.model import Model
 
 MODEL = "__model"
@@ -42,27 +42,26 @@ def calculate(frame: DataFrame, model: Model, target: str, state: str, *, key="s
     that are evidence of a scenario are left out of it.
     """
     key = [key] if isinstance(key, str) else list(key)
-    net = model.network
-    result = None
-    for v in explainable(model, target):
-        joint = posterior(frame, model, [v, target], key=key)
-        is_t = F.col(target) == state
-        x = Window.partitionBy(*key)
-        per = joint.groupBy(*key, quoted(v).alias("state")).agg(
-            F.sum("probability").alias("probability"),
-            F.sum(F.when(is_t, F.col("probability")).otherwise(0.0)).alias("with_target"))
-        per = per.withColumn("p_target", F.sum("with_target").over(x))
-        given = F.try_divide(F.col("with_target"), F.col("p_target"))
-        other = F.try_divide(F.col("probability") - F.col("with_target"), F.lit(1.0) - F.col("p_target"))
-        part = per.select(*key, F.lit(v).alias("variable"), "state", "probability",
-                          given.alias("probability_given_target"), other.alias("probability_given_other"),
-                          F.try_divide(F.col("with_target"), F.col("probability")).alias("probability_target_given_this"),
-                          (given - other).alias("difference"), F.try_divide(given, F.col("probability")).alias("lift"),
-                          F.col("p_target").alias("probability_target"))
-        if v in frame.columns:
-            part = part.join(frame.filter(quoted(v).isNull()).select(*key), key, "left_semi")
-        result = part if result is None else result.unionByName(part)
-    return result
+    names = explainable(model, target)
+    joint = pair_tables(frame, model, names, key=key, target=target)
+    # one small row per (scenario, variable, state) from here on
+    per = joint.groupBy(*key, "variable", "state").agg(
+        F.sum("probability").alias("probability"),
+        F.sum(F.when(quoted(target) == state, F.col("probability")).otherwise(0.0)).alias("with_target"))
+    per = per.withColumn("p_target", F.sum("with_target").over(Window.partitionBy(*key, "variable")))
+    given = F.try_divide(F.col("with_target"), F.col("p_target"))
+    other = F.try_divide(F.col("probability") - F.col("with_target"), F.lit(1.0) - F.col("p_target"))
+    rows = per.select(*key, "variable", "state", "probability",
+                      given.alias("probability_given_target"), other.alias("probability_given_other"),
+                      F.try_divide(F.col("with_target"), F.col("probability")).alias("probability_target_given_this"),
+                      (given - other).alias("difference"), F.try_divide(given, F.col("probability")).alias("lift"),
+                      F.col("p_target").alias("probability_target"))
+    seen = [v for v in names if v in frame.columns]
+    if not seen:
+        return rows
+    marks = F.array_compact(F.array(*[F.when(quoted(v).isNotNull(), F.lit(v)) for v in seen]))
+    known = frame.select(*key, F.explode(marks).alias("variable"))
+    return rows.join(known, [*key, "variable"], "left_anti")
 
 
 def top_per_scenario(frame: DataFrame, *, key: str = "scenario_id", by: str = "difference") -> DataFrame:

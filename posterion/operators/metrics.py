@@ -134,3 +134,18 @@ def residuals(df: DataFrame, actual: str, mean: str, variance: str) -> DataFrame
     """Residual and the one-sigma band around the prediction."""
     m, s = quoted(mean), F.sqrt(quoted(variance))
     return df.select("*", (quoted(actual).cast("double") - m).alias("residual"), (m - s).alias("lo"), (m + s).alias("hi"))
+
+
+def cluster_accuracy(df: DataFrame, weights, correct: str) -> DataFrame:
+    """Q18/V6: `cluster, accuracy`: accuracy weighted by membership, all clusters in one scan."""
+    row = df.agg(*[F.struct(F.lit(i).alias("cluster"), F.try_divide(F.sum(quoted(w) * quoted(correct)), F.sum(quoted(w))).alias("accuracy"))
+                   .alias(f"c{i}") for i, w in enumerate(weights)])
+    return row.select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(weights))])).alias("r")).select("r.*")
+
+
+def virtual_accuracy(df: DataFrame, id_col: str, weights, correct: str) -> DataFrame:
+    """Q18: each row's membership-weighted mean of the cluster accuracies."""
+    by = {r["cluster"]: r["accuracy"] for r in cluster_accuracy(df, weights, correct).collect()}
+    total = sum((quoted(w) for w in weights[1:]), quoted(weights[0]))
+    value = sum((quoted(w) * F.lit(by[i] or 0.0) for i, w in enumerate(weights)), F.lit(0.0))
+    return df.select(quoted(id_col), (value / total).alias("score"))

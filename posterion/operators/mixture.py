@@ -56,7 +56,7 @@ def starting_model(df: DataFrame, network: Network, *, start: str | None = None,
     k = len(network[hub].states)
     fields = {f.name: f.dataType for f in df.schema.fields}
     start = start or next(iter(network.observed("continuous")), None) or network.observed("discrete")[0]
-    if network[start].kind == "continuous":
+    if start not in network.names() or network[start].kind == "continuous":
         value = as_double(quoted(start), fields[start])
         cuts = equal_frequency_edges(df, [start], k)[start][1:-1]
         position = interval_index(value, cuts)
@@ -89,6 +89,8 @@ def fit_mixture(df: DataFrame, network: Network, *, iterations: int = 100, toler
     Stops after `iterations` or when the loglikelihood gains less than `tolerance` of itself.
     """
     columns = [n for n in network.observed() if n in df.columns]
+    if start and start not in columns:
+        columns.append(start)
     table = df.select(*[quoted(c) for c in columns], *([quoted(weight)] if weight else []))
     if not network.observed("continuous"):
         # purely discrete evidence: one weighted row per distinct combination
@@ -198,7 +200,6 @@ def _expectations(table, runs, centres, weight, fold) -> list[dict]:
 
 def _arrow_expectations(table, runs, centres, weight, fold) -> list[dict]:
     """Wide batches: numpy partial sums per Arrow batch, then one grouped sum."""
-    first = runs[0].model.network
     names = sorted({n for r in runs for n in r.model.network.observed() if n in table.columns})
     kinds = {n: r.model.network[n] for r in runs for n in r.model.network.observed()}
     fields = {f.name: f.dataType for f in table.schema.fields}

@@ -140,23 +140,50 @@ def posterior(scenarios: DataFrame, model: Model, head, *, key, soft=(), evidenc
         (F.col("__p") / given).alias("probability"), (F.ln(total) + F.col("__top")).alias("ln_evidence"))
 
 
-def state_posteriors(scenarios: DataFrame, model: Model, variables, *, key, soft=(), evidence=None) -> DataFrame:
-    """(key, variable, state, probability) for several variables, one joint pass each.
+def pair_tables(scenarios: DataFrame, model: Model, variables, *, key, target: str | None = None, soft=(),
+                evidence=None) -> DataFrame:
+    """(key, variable, state, [target state,] probability) for several variables.
 
-    Every state of the network appears; states of probability 0 are kept as 0.
+    While the joint grid is small, one expansion serves all variables; otherwise each variable
+    is summed out on its own.
     """
+    net = model.network
+    key = [key] if isinstance(key, str) else list(key)
+    extra = [target] if target else []
+    keep = [*dict.fromkeys([*variables, *extra])]
+    observed = [v for v in variables if v in (evidence if evidence is not None else scenarios.columns)]
+    if net.grid_size(sorted(net.ancestors(keep))) > GRID_LIMIT or observed:
+        result = None
+        for v in variables:
+            one = posterior(scenarios, model, [v, *extra], key=key, soft=soft, evidence=evidence)
+            part = one.select(*key, F.lit(v).alias("variable"), F.col(v).alias("state"),
+                              *[F.col(t) for t in extra], "probability")
+            result = part if result is None else result.unionByName(part)
+        return result
+    slot = {n: f"__s{i}" for i, n in enumerate(net.names())}
+    rows = _weights(scenarios, model, keep, key=key, soft=soft, evidence=evidence, head=keep)
+    keys = [quoted(k) for k in key]
+    pairs = F.array(*[F.struct(F.lit(v).alias("variable"), _state_name(model, v, F.col(slot[v])).alias("state")) for v in variables])
+    long = rows.select(*keys, "__lw", *[F.col(slot[t]) for t in extra], F.explode(pairs).alias("v"))
+    scenario = Window.partitionBy(*keys)
+    table = (long.withColumn("__top", F.max("__lw").over(scenario))
+             .groupBy(*keys, "v.variable", "v.state", *[slot[t] for t in extra])
+             .agg(F.sum(F.exp(F.col("__lw") - F.col("__top"))).alias("__p")))
+    total = F.sum("__p").over(Window.partitionBy(*keys, "variable"))
+    return table.select(*keys, "variable", "state", *[_state_name(model, t, F.col(slot[t])).alias(t) for t in extra],
+                        (F.col("__p") / total).alias("probability"))
+
+
+def state_posteriors(scenarios: DataFrame, model: Model, variables, *, key, soft=(), evidence=None) -> DataFrame:
+    """(key, variable, state, ord, probability) of several variables; states of probability 0
+    are listed too."""
     key = [key] if isinstance(key, str) else list(key)
-    result = None
-    for v in variables:
-        one = posterior(scenarios, model, [v], key=key, soft=soft, evidence=evidence)
-        states = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(s).alias("state"))
-                           for i, s in enumerate(model.network[v].states)])
-        full = scenarios.select(*[quoted(k) for k in key]).withColumn("g", F.explode(states)).select(
-            *[quoted(k) for k in key], F.col("g.ord").alias("ord"), F.col("g.state").alias("state"))
-        part = full.join(one.select(*key, F.col(v).alias("state"), "probability"), [*key, "state"], "left").select(
-            *key, F.lit(v).alias("variable"), "state", "ord", F.coalesce("probability", F.lit(0.0)).alias("probability"))
-        result = part if result is None else result.unionByName(part)
-    return result
+    found = pair_tables(scenarios, model, variables, key=key, soft=soft, evidence=evidence)
+    every = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(s).alias("state"), F.lit(i).alias("ord"))
+                      for v in variables for i, s in enumerate(model.network[v].states)])
+    full = scenarios.select(*[quoted(k) for k in key], F.explode(every).alias("g")).select(*[quoted(k) for k in key], "g.*")
+    return full.join(found, [*key, "variable", "state"], "left").select(
+        *key, "variable", "state", "ord", F.coalesce("probability", F.lit(0.0)).alias("probability"))
 
 
 def no_evidence(spark: SparkSession) -> DataFrame:
