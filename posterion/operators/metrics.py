@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posterion.functions.scalars import quoted
 from posterion.operators.ranking import near_equal_groups
+from posterion.sources.storage import reused
 
 
 def r_squared(df: DataFrame, actual: str, predicted: str, *, by=()) -> DataFrame:
@@ -71,10 +72,12 @@ def cumulative_gains(df: DataFrame, *, id_col: str, probability: str, actual: st
                      groups: int = 10) -> DataFrame:
     """Rows predicted positive in near-equal groups by ascending probability, with
     running correct counts, best and average case, lift and response rate."""
-    chosen = df.filter(quoted(predicted).cast("string") == str(positive))
-    ranked = near_equal_groups(chosen, probability, id_col, groups, name="decile")
     hit = quoted(actual).cast("string") == str(positive)
-    per = ranked.groupBy("decile").agg(F.count(F.lit(1)).alias("cases"), F.count_if(hit).alias("correct"))
+    chosen = df.filter(quoted(predicted).cast("string") == str(positive)).select(
+        quoted(id_col), quoted(probability), hit.alias("__hit"))
+    # locating the group boundaries takes several scans: they read three narrow columns
+    ranked = near_equal_groups(reused(chosen), probability, id_col, groups, name="decile")
+    per = ranked.groupBy("decile").agg(F.count(F.lit(1)).alias("cases"), F.count_if("__hit").alias("correct"))
     # from here on: one row per group
     upto = Window.partitionBy(F.lit(0)).orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum("correct").over(Window.partitionBy(F.lit(0))).cast("double")

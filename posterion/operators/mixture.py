@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posterion.functions.scalars import as_double, interval_index, quoted, state_index
 from posterion.operators.bins import equal_frequency_edges
+from posterion.operators.ranking import quantiles
 from posterion.operators.fit import collect_cells, discover, statistics
 from posterion.operators.score import _Plan, encode
 from posterion.plans.model import Model, Moments, log_probability
 from posterion.plans.network import Network
 from posterion.sources.storage import reused
 
-MAX_SUMS = 400               # aggregates written as expressions; beyond, numpy per Arrow batch
+MAX_SUMS = 250               # aggregates written as expressions; beyond, numpy per Arrow batch
+SMALL_ROWS = 3_000_000       # up to here compiling new expressions costs more than Arrow transfer
 
 
 @dataclass
@@ -134,11 +136,14 @@ def run_batch(table: DataFrame, runs: list[Run], centres: dict[str, float], *, i
 
     Every model is a star over columns of the table; `fold` excludes `run.fold` from a run.
     """
+    small = table.count() <= SMALL_ROWS
     for _ in range(iterations):
         active = [r for r in runs if not r.done]
         if not active:
             break
-        for run, sums in zip(active, _expectations(table, active, centres, weight, fold)):
+        wide = sum(len(_layout(r.model)) for r in active) > MAX_SUMS
+        step = _arrow_expectations if small or wide else _expectations
+        for run, sums in zip(active, step(table, active, centres, weight, fold)):
             run.iterations += 1
             model, ll = _from_sums(run.model, sums, centres)
             if run.last is not None and abs(ll - run.last) <= tolerance * abs(run.last):
@@ -163,8 +168,6 @@ def _layout(model: Model) -> list[tuple]:
 
 def _expectations(table, runs, centres, weight, fold) -> list[dict]:
     layouts = [_layout(r.model) for r in runs]
-    if sum(map(len, layouts)) > MAX_SUMS:
-        return _arrow_expectations(table, runs, centres, weight, fold)
     w = quoted(weight).cast("double") if weight else F.lit(1.0)
     scored, plans = table, []
     for i, run in enumerate(runs):
@@ -198,8 +201,13 @@ def _expectations(table, runs, centres, weight, fold) -> list[dict]:
     return [{item: float(row[f"q{i}_{j}"] or 0.0) for j, item in enumerate(layout)} for i, layout in enumerate(layouts)]
 
 
-def _arrow_expectations(table, runs, centres, weight, fold) -> list[dict]:
-    """Wide batches: numpy partial sums per Arrow batch, then one grouped sum."""
+def held_out_loglikelihoods(table: DataFrame, runs: list[Run], *, weight: str | None = None, fold: str) -> list[float]:
+    """Summed loglikelihood of each run on the fold it did not learn from; one scan for all runs."""
+    return [s["ll",] for s in _arrow_expectations(table, runs, {}, weight, fold, held_out=True)]
+
+
+def _arrow_expectations(table, runs, centres, weight, fold, held_out: bool = False) -> list[dict]:
+    """Small tables and wide batches: numpy partial sums per Arrow batch, then one grouped sum."""
     names = sorted({n for r in runs for n in r.model.network.observed() if n in table.columns})
     kinds = {n: r.model.network[n] for r in runs for n in r.model.network.observed()}
     fields = {f.name: f.dataType for f in table.schema.fields}
@@ -216,7 +224,7 @@ def _arrow_expectations(table, runs, centres, weight, fold) -> list[dict]:
             data = pdf[[f"v{i}" for i in range(len(names))]].to_numpy(dtype=float)
             wt, fd = pdf["w"].to_numpy(dtype=float), pdf["f"].to_numpy()
             for i, (skip, prior, leaves, hub_column) in enumerate(specs):
-                use = slice(None) if skip is None else fd != skip
+                use = slice(None) if skip is None else (fd == skip if held_out else fd != skip)
                 got = _star_sums(data[use], wt[use], prior, leaves, hub_column, shift)
                 totals[i] = got if i not in totals else totals[i] + got
         yield pd.DataFrame([(i, j, v) for i, t in totals.items() for j, v in enumerate(t)],
@@ -348,3 +356,33 @@ def fit_incomplete(df: DataFrame, network: Network, *, iterations: int = 100, to
             break
         last = ll
     return replace(model, iterations=t, converged=converged, loglikelihood=last)
+
+
+def column_starts(table: DataFrame, column: str, network_of, counts, *, weight: str) -> tuple[list[Model], dict[str, float]]:
+    """Starting models of one-column mixtures for several cluster counts, from two scans:
+    quantiles for all counts at once, then moments per (count, bin). Clusters left without a
+    bin of their own, when ties merge bins, start from the whole column."""
+    counts = list(counts)
+    value = quoted(column).cast("double")
+    fractions = sorted({i / k for k in counts for i in range(1, k)})
+    points = dict(zip(fractions, quantiles(table, {column: value}, fractions)[column])) if fractions else {}
+    cuts = {k: sorted({points[i / k] for i in range(1, k)}) for k in counts}
+    centre = table.agg(F.avg(value)).head()[0] or 0.0
+    dev, w = value - F.lit(centre), quoted(weight).cast("double")
+    spread = F.array(*[F.struct(F.lit(k).alias("k"), interval_index(value, cuts[k]).alias("bin")) for k in counts])
+    rows = (table.select(F.explode(spread).alias("s"), w.alias("w"), (w * dev).alias("s1"), (w * dev * dev).alias("s2"))
+            .groupBy("s.k", "s.bin").agg(F.sum("w").alias("w"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2")).collect())
+    models = []
+    for k in counts:
+        found = {r["bin"]: (r["w"], r["s1"], r["s2"]) for r in rows if r["k"] == k}
+        total = [sum(v[i] for v in found.values()) for i in range(3)]
+        network = network_of(k)
+        hub = hub_of(network)
+        sums: dict = {("ll",): 0.0}
+        for i in range(k):
+            share = found.get(i) or [0.1 / k * t for t in total]
+            sums["hub", i] = share[0]
+            for m in range(3):
+                sums["moment", column, i, m] = share[m]
+        models.append(_from_sums(Model(network, {}, {}), sums, {column: centre})[0])
+    return models, {column: centre}

@@ -398,7 +398,9 @@ def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = Non
     keep = df.columns if append else ([id_col] if id_col else [])
     ok = reduce(lambda a, b: a & b, guards.values()) if guards else None
     answers = [(c if ok is None else F.when(ok, c)).alias(n) for n, c in out]
-    return result.select(*[quoted(c) for c in keep if c not in names], *answers)
+    # one struct unpacked by a generator: a later filter on an answer stays above it, where a
+    # plain projection would copy the whole score expression into the filter
+    return result.select(*[quoted(c) for c in keep if c not in names], F.inline(F.array(F.struct(*answers))))
 
 
 def _always_usable(plan: _Plan) -> bool:

@@ -10,7 +10,7 @@ from math import prod
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from posterion.functions.scalars import as_double, quoted, state_text
+from posterion.functions.scalars import as_double, quoted, state_index
 from posterion.operators.fit import FOLD_CELLS, discover
 from posterion.plans.network import Network, would_cycle
 from posterion.plans.templates import independent
@@ -19,28 +19,45 @@ from posterion.sources.storage import reused
 TEST_BATCH = 200             # tests counted by one job
 
 
-def _cells(df: DataFrame, columns, extra=()) -> DataFrame:
-    """State texts of the columns with `n`; folded to distinct combinations when the grid is small."""
+def _cells(df: DataFrame, columns, extra=()) -> tuple[DataFrame, Network]:
+    """State positions of the columns with `n`, and the network that names the states; folded
+    to distinct combinations when the grid is small."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     network, _ = discover(df, independent(discrete=columns))
-    base = df.select(*[state_text(quoted(c), fields[c]).alias(c) for c in columns], *[quoted(e) for e in extra])
+    base = df.select(*[state_index(quoted(c), network[c].states, fields[c]).alias(c) for c in columns], *[quoted(e) for e in extra])
     if prod(len(network[c].states) + 1 for c in columns) <= FOLD_CELLS:
-        return base.groupBy(*[quoted(c) for c in (*columns, *extra)]).agg(F.count(F.lit(1)).alias("n"))
-    return base.withColumn("n", F.lit(1).cast("bigint"))
+        return base.groupBy(*[quoted(c) for c in (*columns, *extra)]).agg(F.count(F.lit(1)).alias("n")), network
+    return base.withColumn("n", F.lit(1).cast("bigint")), network
 
 
-def contingency(cells: DataFrame, tests) -> DataFrame:
-    """Counts `test, x, y, z, n` of several (a, b, given) triples from one pass; rows with a
-    missing value in a triple are left out of it."""
-    parts = []
+def _radix(network: Network, columns):
+    z = F.lit(0).cast("bigint")
+    for c in columns:
+        z = z * F.lit(len(network[c].states)) + quoted(c)
+    return z
+
+
+def contingency(cells: DataFrame, network: Network, tests) -> DataFrame:
+    """Counts `test, x, y, z, n` (state positions) of several (a, b, given) triples from one pass;
+    rows with a missing value in a triple are left out of it.
+
+    Each row yields one packed number per test, so the shuffle carries partial counts of single
+    bigints.
+    """
+    sx = max(len(network[a].states) for a, _, _ in tests)
+    sy = max(len(network[b].states) for _, b, _ in tests)
+    sz = max(network.grid_size(g) for _, _, g in tests)
+    if sx * sy * sz * len(tests) >= 2 ** 62:
+        raise ValueError("the conditioning sets have too many state combinations to test")
+    codes = []
     for i, (a, b, given) in enumerate(tests):
-        ok = quoted(a).isNotNull() & quoted(b).isNotNull()
-        for g in given:
-            ok = ok & quoted(g).isNotNull()
-        z = F.concat_ws("|", *[quoted(g) for g in given]) if given else F.lit("")
-        parts.append(F.when(ok, F.struct(F.lit(i).alias("test"), quoted(a).alias("x"), quoted(b).alias("y"), z.alias("z"))))
-    long = cells.select("n", F.explode(F.array_compact(F.array(*parts))).alias("t")).select("t.*", "n")
-    return long.groupBy("test", "x", "y", "z").agg(F.sum("n").alias("n"))
+        x, y = quoted(a).cast("bigint"), quoted(b).cast("bigint")
+        codes.append(F.lit(i).cast("bigint") + F.lit(len(tests)) * (x + F.lit(sx) * (y + F.lit(sy) * _radix(network, given))))
+    counts = (cells.select("n", F.explode(F.array(*codes)).alias("code")).filter(F.col("code").isNotNull())
+              .groupBy("code").agg(F.sum("n").alias("n")))
+    rest = F.expr(f"code div {len(tests)}L")
+    return counts.select((F.col("code") % len(tests)).cast("int").alias("test"), rest.alias("r"), "n").select(
+        "test", (F.col("r") % sx).alias("x"), (F.expr(f"r div {sx}L") % sy).alias("y"), F.expr(f"r div {sx * sy}L").alias("z"), "n")
 
 
 def information(counts: DataFrame) -> DataFrame:
@@ -59,11 +76,11 @@ def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None
     """G1: `a, b, mi, g2, df` of every pair, or `a, b, c, cmi, g2, df` given one column."""
     columns = list(columns)
     pairs = list(pairs or combinations([c for c in columns if c != given], 2))
-    cells = _cells(df, columns)
+    cells, network = _cells(df, columns)
     tests = [(a, b, (given,) if given else ()) for a, b in pairs]
     info = None
     for start in range(0, len(tests), TEST_BATCH):
-        batch = information(contingency(cells, tests[start:start + TEST_BATCH])).withColumn("test", F.col("test") + start)
+        batch = information(contingency(cells, network, tests[start:start + TEST_BATCH])).withColumn("test", F.col("test") + start)
         info = batch if info is None else info.unionByName(batch)
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "test int, a string, b string")
     free = ((F.col("nx") - 1) * (F.col("ny") - 1) * F.col("nz")).cast("bigint").alias("df")
@@ -116,7 +133,8 @@ def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05,
         raise ValueError("bin the continuous columns first, or test one kind at a time")
     names = list(discrete or continuous)
     if discrete:
-        cells = reused(_cells(df, names))
+        cells, network = _cells(df, names)
+        cells = reused(cells)
     else:
         n, corr = correlation_matrix(df, names)
     adjacent = {frozenset(p) for p in combinations(names, 2)}
@@ -132,7 +150,7 @@ def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05,
         results = {}
         if discrete:
             for start in range(0, len(tests), TEST_BATCH):
-                for r in information(contingency(cells, tests[start:start + TEST_BATCH])).collect():
+                for r in information(contingency(cells, network, tests[start:start + TEST_BATCH])).collect():
                     free = (r["nx"] - 1) * (r["ny"] - 1) * r["nz"]
                     results[start + r["test"]] = chi_square_p(r["g2"], free)
         else:
@@ -215,8 +233,8 @@ def learn_greedy(df: DataFrame, columns, *, fold: str, k: int, max_parents: int
     One counting job scores all candidates of a round against the present parents.
     """
     columns = list(columns)
-    states = discover(df, independent(discrete=columns))[0]
-    cells = reused(_cells(df, columns, extra=(fold,)))
+    cells, states = _cells(df, columns, extra=(fold,))
+    cells = reused(cells)
     ranked = sorted(((r["mi"], r["a"], r["b"]) for r in mutual_information(df, columns).collect()), key=lambda t: (-t[0], t[1:]))
     todo = [(a, b) for _, a, b in ranked]
     parents: dict[str, tuple[str, ...]] = {c: () for c in columns}
@@ -253,7 +271,7 @@ def _family_scores(cells: DataFrame, families, network: Network, fold: str, k: i
         ok = quoted(c).isNotNull()
         for p in ps:
             ok = ok & quoted(p).isNotNull()
-        key = F.concat_ws("|", *[quoted(p) for p in ps]) if ps else F.lit("")
+        key = _radix(network, ps)
         parts.append(F.when(ok, F.struct(F.lit(i).alias("family"), key.alias("key"), quoted(c).alias("state"))))
     long = cells.select("n", quoted(fold).alias("f"), F.explode(F.array_compact(F.array(*parts))).alias("t")).select("t.*", "n", "f")
     counts = long.groupBy("family", "key", "state", "f").agg(F.sum("n").alias("n"))

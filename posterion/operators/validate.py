@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posterion.functions.scalars import finite, hash_bits, hash_uniform, quoted
 from posterion.operators.fit import collect_cells, discover, statistics
-from posterion.operators.mixture import Run, hub_of, run_batch, starting_model
+from posterion.operators.mixture import Run, column_starts, held_out_loglikelihoods, hub_of, run_batch, starting_model
 from posterion.operators.profile import single_state_columns
 from posterion.operators.ranking import group_of_rank, hashed_rank
 from posterion.operators.score import ModelStatistics, MostLikelyState, score
@@ -155,19 +155,17 @@ def _less_fold(ll: Column, k: int) -> Column:
 def held_out_mixture(df: DataFrame, network_of, counts, *, k: int = 3, iterations: int = 20, tolerance: float = 1e-6,
                      start: str | None = None, fold: str = FOLD) -> DataFrame:
     """`clusters, mean_ll`: held-out loglikelihood per number of clusters. All folds of
-    one count learn in the same scans."""
+    all counts learn in the same scans."""
     table = reused(df)
-    result = None
+    runs, centres = [], {}
     for c in counts:
-        network, first, centres = starting_model(table, network_of(c), start=start)
-        runs = run_batch(table, [Run(first, fold=f) for f in range(k)], centres, iterations=iterations,
-                         tolerance=tolerance, fold=fold)
-        stacked = stack_models({str(r.fold): r.model for r in runs}, fold)
-        scored = score(table, stacked, [ModelStatistics()])
-        part = scored.agg(F.avg(_less_fold(F.col("loglikelihood"), k)).alias("mean_ll")).select(
-            F.lit(c).alias("clusters"), "mean_ll")
-        result = part if result is None else result.unionByName(part)
-    return result
+        _, first, centres = starting_model(table, network_of(c), start=start)
+        runs += [Run(first, fold=f) for f in range(k)]
+    run_batch(table, runs, centres, iterations=iterations, tolerance=tolerance, fold=fold)
+    held = held_out_loglikelihoods(table, runs, fold=fold)
+    n = table.count()
+    rows = [(c, float(sum(held[i * k:(i + 1) * k]) / n)) for i, c in enumerate(counts)]
+    return df.sparkSession.createDataFrame(rows, "clusters int, mean_ll double")
 
 
 def discretisation_analysis(df: DataFrame, columns, *, id_col: str, clusters=(1, 5, 10, 20, 30), k: int = 3, seed=0,
@@ -185,11 +183,8 @@ def discretisation_analysis(df: DataFrame, columns, *, id_col: str, clusters=(1,
             F.count(F.lit(1)).cast("double").alias("__weight")))
         sizes = {r[0]: r[1] for r in table.groupBy(FOLD).agg(F.sum("__weight")).collect()}
         total = sum(sizes.values())
-        runs, centres = [], {}
-        for n in clusters:
-            weighted = table
-            _, first, centres = _weighted_start(weighted, c, n)
-            runs += [Run(first, fold=f) for f in range(k)]
+        starts, centres = column_starts(table, c, lambda n: mixture(continuous=[c], latent_states=n), clusters, weight="__weight")
+        runs = [Run(first, fold=f) for first in starts for f in range(k)]
         run_batch(table, runs, centres, iterations=iterations, tolerance=tolerance, weight="__weight", fold=FOLD)
         best: dict[int, float] = {}
         for r in runs:
@@ -203,8 +198,3 @@ def discretisation_analysis(df: DataFrame, columns, *, id_col: str, clusters=(1,
     w = Window.partitionBy("column_name").orderBy(F.desc("mean_ll"), "clusters")
     return (scores.withColumn("r", F.row_number().over(w)).filter("r = 1")
             .select("column_name", F.col("clusters").alias("best_k"), (F.col("clusters") > threshold).alias("discretise")))
-
-
-def _weighted_start(table: DataFrame, column: str, n: int):
-    """Start of a one-column mixture on value counts: equal-frequency over distinct values."""
-    return starting_model(table, mixture(continuous=[column], latent_states=n), start=column, weight="__weight")
