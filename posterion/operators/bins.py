@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from posterion.functions.scalars import (NUMERIC, INTEGRAL, as_double, interval_index, lookup, quoted, state_text)
+from posterion.functions.scalars import (NUMERIC, as_double, interval_index, lookup, quoted, state_text)
 from posterion.operators.ranking import quantiles
 from posterion.plans.network import Network, Variable
-import pyspark.sql.types as T
 
+MAX_STATES = 100_000         # values a discrete column may have
 DIRECT_BINS = 512            # bins written as one comparison tree
 
 
@@ -31,7 +31,6 @@ def _values(df: DataFrame, columns) -> dict[str, Column]:
 def discover_states(df: DataFrame, columns) -> DataFrame:
     """`variable, state, ord, value_type` of every non-null distinct value, all columns in
     one job; states are ordered by value. Integral numbers give INTEGER states."""
-    from pyspark.sql import Window
     fields = {f.name: f.dataType for f in df.schema.fields}
     entries = []
     for c in columns:
@@ -40,6 +39,10 @@ def discover_states(df: DataFrame, columns) -> DataFrame:
         kind = "BOOLEAN" if isinstance(t, T.BooleanType) else "NUMBER" if isinstance(t, NUMERIC) else "NONE"
         entries.append(F.struct(F.lit(c).alias("variable"), state_text(quoted(c), t).alias("state"),
                                 number.alias("number"), F.lit(kind).alias("kind")))
+    guess = df.agg(*[F.approx_count_distinct(quoted(c)).alias(f"a{i}") for i, c in enumerate(columns)]).head()
+    wide = [c for i, c in enumerate(columns) if guess[f"a{i}"] > MAX_STATES]
+    if wide:
+        raise ValueError(f"{wide} have more than {MAX_STATES} values: bin them, or treat them as continuous")
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("state").isNotNull())
     distinct = long.groupBy("variable", "state", "number", "kind").agg(F.lit(1).alias("__one"))
     w = Window.partitionBy("variable")

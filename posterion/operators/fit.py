@@ -18,6 +18,8 @@ from posterion.plans.network import Network
 MAX_STATES = 10_000          # states over all discrete columns that a network may discover
 MAX_PARAMETERS = 500_000     # parameter rows that may come to the driver
 FOLD_CELLS = 50_000          # grid size up to which rows are folded into cells first
+MOMENT_SUMS = 100            # moment sums in one aggregate
+MOMENT_WORK = 400            # discrete families x moment sums up to which one aggregate serves both
 
 
 def discover(df: DataFrame, network: Network) -> tuple[Network, dict[str, float]]:
@@ -72,11 +74,35 @@ def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,
     Columns: node, kind, parents (array), parent_key, state, w (weight), rows, sums, cross.
     A row counts for a family when all its columns are present (exact when the node has no
     observed descendants); states outside the network are missing.
+
+    Narrow networks take one aggregation. In wide ones the moment sums would be computed for
+    every discrete family too, and one aggregate with thousands of sums would not compile, so
+    counts and chunks of Gaussian groups are aggregated apart.
     """
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    w = F.lit(1.0) if weight is None else (quoted(weight) if isinstance(weight, str) else weight).cast("double")
     discrete = network.names("discrete")
     groups = [g for g in network.nodes() if network[g[0]].kind == "continuous"]
+    size = {g: 2 + len(v) + len(v) * (len(v) + 1) // 2 for g in groups
+            for v in [network.continuous_parents(g[0]) + list(g)]}
+    if len(discrete) * sum(size.values()) <= MOMENT_WORK and sum(size.values()) <= MOMENT_SUMS:
+        return _statistics(df, network, centres, weight, discrete, groups)
+    chunks, current = [], []
+    for g in groups:
+        if current and sum(size[c] for c in current) + size[g] > MOMENT_SUMS:
+            chunks.append(current)
+            current = []
+        current.append(g)
+    parts = [_statistics(df, network, centres, weight, [], c) for c in [*chunks, current] if c]
+    if discrete:
+        parts.insert(0, _statistics(df, network, centres, weight, discrete, []))
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.unionByName(p)
+    return result
+
+
+def _statistics(df: DataFrame, network: Network, centres, weight, discrete, groups) -> DataFrame:
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    w = F.lit(1.0) if weight is None else (quoted(weight) if isinstance(weight, str) else weight).cast("double")
     families = {n: sorted({n, *network.parents(n)}) for n in discrete}
     gaussian = {g: network.discrete_parents(g[0]) for g in groups}
     vectors = {g: network.continuous_parents(g[0]) + list(g) for g in groups}

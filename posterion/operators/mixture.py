@@ -11,12 +11,13 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posterion.functions.scalars import as_double, interval_index, quoted, state_index
 from posterion.operators.bins import equal_frequency_edges
-from posterion.operators.ranking import quantiles
 from posterion.operators.fit import collect_cells, discover, statistics
+from posterion.operators.posterior import _weights
+from posterion.operators.ranking import quantiles
 from posterion.operators.score import _Plan, encode
 from posterion.plans.model import Model, Moments, log_probability
 from posterion.plans.network import Network
@@ -336,12 +337,10 @@ def fit_incomplete(df: DataFrame, network: Network, *, iterations: int = 100, to
         F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
     model = Model.from_statistics(network, collect_cells(statistics(named, network, centres, weight="__weight")), centres)
     last, converged, t = None, False, 0
-    from posterion.operators.posterior import _weights
-    from pyspark.sql import Window
     slot = {n: f"__s{i}" for i, n in enumerate(names)}
     for t in range(1, iterations + 1):
         rows = _weights(named, model, names, key=["__cell", "__weight"])
-        cell = Window.partitionBy("__cell", "__weight", )
+        cell = Window.partitionBy("__cell", "__weight")
         rows = rows.withColumn("__top", F.max("__lw").over(cell))
         rows = rows.withColumn("__z", F.sum(F.exp(F.col("__lw") - F.col("__top"))).over(cell))
         rows = rows.withColumn("__w", F.col("__weight") * F.exp(F.col("__lw") - F.col("__top")) / F.col("__z"))
