@@ -13,10 +13,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import as_double, interval_index, quoted, state_index
+from posterion.functions.scalars import as_double, interval_index, lookup, quoted, state_index
 from posterion.operators.bins import equal_frequency_edges
 from posterion.operators.fit import collect_cells, discover, statistics
-from posterion.operators.posterior import _weights
 from posterion.operators.ranking import quantiles
 from posterion.operators.score import _Plan, encode
 from posterion.plans.model import Model, Moments, log_probability
@@ -100,7 +99,15 @@ def fit_mixture(df: DataFrame, network: Network, *, iterations: int = 100, toler
         w = quoted(weight).cast("double") if weight else F.lit(1.0)
         table = table.groupBy(*[quoted(c) for c in columns]).agg(F.sum(w).alias("__weight"))
         weight = "__weight"
-    table = reused(table)
+    # written once, so that a lost executor costs a reread; cached on top for the many passes
+    table = reused(table).persist()
+    try:
+        return _iterate(table, network, iterations, tolerance, weight, start, initial)
+    finally:
+        table.unpersist()
+
+
+def _iterate(table: DataFrame, network: Network, iterations: int, tolerance: float, weight, start, initial) -> Model:
     if initial is None:
         network, model, centres = starting_model(table, network, start=start, weight=weight)
     else:
@@ -336,22 +343,31 @@ def fit_incomplete(df: DataFrame, network: Network, *, iterations: int = 100, to
     named = cells.select("__cell", "__weight", *[
         F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
     model = Model.from_statistics(network, collect_cells(statistics(named, network, centres, weight="__weight")), centres)
+    # every completion of every cell; it does not depend on the parameters and is built once
+    full = cells
+    for n in names:
+        every = F.sequence(F.lit(0), F.lit(len(network[n].states) - 1))
+        full = full.withColumn(n, F.explode(F.when(quoted(n).isNull(), every).otherwise(F.array(quoted(n)))))
+    full = reused(full)
+    cell = Window.partitionBy("__cell")
     last, converged, t = None, False, 0
-    slot = {n: f"__s{i}" for i, n in enumerate(names)}
     for t in range(1, iterations + 1):
-        rows = _weights(named, model, names, key=["__cell", "__weight"])
-        cell = Window.partitionBy("__cell", "__weight")
+        lw = F.lit(0.0)
+        for n in names:
+            position = F.lit(0)
+            for p in [*network.parents(n), n]:
+                position = position * F.lit(len(network[p].states)) + quoted(p)
+            lw = lw + lookup([log_probability(p) for row in model.dense(n) for p in row], position)
+        rows = full.withColumn("__lw", lw).filter(F.col("__lw") > F.lit(-math.inf))
         rows = rows.withColumn("__top", F.max("__lw").over(cell))
         rows = rows.withColumn("__z", F.sum(F.exp(F.col("__lw") - F.col("__top"))).over(cell))
         rows = rows.withColumn("__w", F.col("__weight") * F.exp(F.col("__lw") - F.col("__top")) / F.col("__z"))
-        rows = rows.withColumn("__ll", F.col("__w") * (F.col("__top") + F.ln("__z")))
-        full = reused(rows.select("__w", "__ll", *[
-            F.get(F.array(*[F.lit(s) for s in network[n].states]), F.col(slot[n])).alias(n) for n in names]))
-        ll = full.agg(F.sum("__ll")).head()[0]
-        model = Model.from_statistics(network, collect_cells(statistics(full, network, centres, weight="__w")), centres)
+        completed = rows.select("__w", *[F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
+        found = collect_cells(statistics(completed, network, centres, weight="__w"))
+        ll = rows.agg(F.sum(F.col("__w") * (F.col("__top") + F.ln("__z")))).head()[0]
+        model = Model.from_statistics(network, found, centres)
         if last is not None and abs(ll - last) <= tolerance * abs(last):
-            converged = True
-            last = ll
+            converged, last = True, ll
             break
         last = ll
     return replace(model, iterations=t, converged=converged, loglikelihood=last)

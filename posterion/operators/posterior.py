@@ -13,10 +13,10 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from posterion.functions.scalars import as_double, cast_state, lookup, quoted, state_index
+from posterion.functions.scalars import as_double, cast_state, lookup, normal_log_density, quoted, state_index
 from posterion.operators.gaussian import components, discrete_parents_of, indexed_moments, log_density
-from posterion.functions.scalars import normal_log_density
 from posterion.plans.model import Model, log_probability
+from posterion.sources.storage import sized
 
 GRID_LIMIT = 1024            # open combinations per scenario before variables are summed out
 
@@ -326,7 +326,8 @@ def score_general(df: DataFrame, model: Model, target: str, *, id_col: str, evid
     """Q12: any discrete-target query with any pattern of missing values.
 
     Rows are reduced to their distinct evidence combinations first; inference runs once per
-    combination and the answers are joined back. Continuous evidence makes combinations as
+    combination (the action runs here) and the answers are joined back, by broadcast when they
+    are few, so the table itself is not shuffled for it. Continuous evidence makes combinations as
     many as rows, which stays correct, only with less saving.
     """
     net = model.network
@@ -348,5 +349,6 @@ def score_general(df: DataFrame, model: Model, target: str, *, id_col: str, evid
                           else best.alias(f"{target}{suffix}"),
                           *[F.col(f"__p{i}").alias(f"{target}$${s}_probability") for i, s in enumerate(states)],
                           F.col("ln_evidence").alias("loglikelihood"))
-    return keyed.join(answers, "__combo", "left").select(
-        quoted(id_col), *[quoted(c) for c in answers.columns if c != "__combo"])
+    names = [c for c in answers.columns if c != "__combo"]
+    return keyed.join(sized(answers), "__combo", "left").select(
+        quoted(id_col), *[quoted(c) for c in names])

@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import hash_bits, quoted
+from posterion.functions.scalars import hash_bits, interval_index, quoted
+from posterion.sources.storage import sized
 
 EXACT_VALUES = 500_000       # distinct values the built-in exact percentile may hold
 ACCURACY = 20_000            # of the approximate percentile used for narrowing
@@ -146,7 +147,8 @@ def hashed_rank(df: DataFrame, id_col: str, seed, *, by: str | None = None, buck
     match = F.col("__b") == F.col("__ob")
     if by:
         match = match & quoted(by).eqNullSafe(F.col("__by"))
-    out = numbered.join(offsets, match, "inner")
+    # without classes there are at most `buckets` offsets; with classes their number is counted
+    out = numbered.join(sized(offsets) if by else F.broadcast(offsets), match, "inner")
     return out.select(*[quoted(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(name),
                       F.col("__total").cast("bigint").alias(f"{name}_of"))
 
@@ -160,7 +162,6 @@ def group_of_rank(rank: Column, total: Column, k: int) -> Column:
 
 def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int = 256) -> DataFrame:
     """1..N by a unique numeric column, numbered inside value ranges plus range offsets."""
-    from posterion.functions.scalars import interval_index
     v = quoted(order_col)
     cuts = df.agg(F.percentile_approx(v, [i / ranges for i in range(1, ranges)], ACCURACY)).head()[0] or []
     cuts = sorted(set(cuts))
@@ -169,5 +170,6 @@ def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int =
     before = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     numbered = base.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(v)))
-    return numbered.join(offsets, F.col("__b") == F.col("__ob")).select(
+    # at most `ranges` offsets
+    return numbered.join(F.broadcast(offsets), F.col("__b") == F.col("__ob")).select(
         *[quoted(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(name))

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from posterion.functions.scalars import quoted, state_text
 from posterion.plans.network import Network
+from posterion.sources.storage import sized
 
 
 def lookup_probability(df: DataFrame, cpt: DataFrame, node: str, parents, *, name: str = "p") -> DataFrame:
     """The probability of each row's state given its parents' states.
 
-    A join on (parent key, state), so the table may be of any size; Spark picks the join from
-    the measured size of the table. Rows with a missing value get null.
+    A join on (parent key, state), so the table may be of any size; a table counted to be small
+    is broadcast, so a parent combination shared by many rows is no hot key. Rows with a
+    missing value get null.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     parents = sorted(parents)
@@ -23,7 +25,7 @@ def lookup_probability(df: DataFrame, cpt: DataFrame, node: str, parents, *, nam
     table = cpt.filter(F.col("node") == node).select(
         F.col("parent_key").alias("__pk"), F.col("state").alias("__st"), F.col("p").alias("__p"))
     keyed = df.withColumn("__k", key).withColumn("__s", state_text(quoted(node), fields[node]))
-    joined = keyed.join(table, (F.col("__k") == F.col("__pk")) & (F.col("__s") == F.col("__st")), "left")
+    joined = keyed.join(sized(table), (F.col("__k") == F.col("__pk")) & (F.col("__s") == F.col("__st")), "left")
     return joined.select(*[quoted(c) for c in df.columns], F.col("__p").alias(name))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def _shared_folder(spark: SparkSession) -> str | None:
@@ -28,3 +28,13 @@ def reused(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(_shared_folder(df.sparkSession) or tempfile.mkdtemp(prefix="posterion-"))
     return df.checkpoint(eager=True)
+
+
+BROADCAST_ROWS = 200_000     # rows of a narrow table that may be sent to every executor
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A derived table for the small side of a join: computed once, counted, and marked for
+    broadcast only when the count is within the bound. Otherwise Spark joins it by shuffle."""
+    kept = reused(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
