@@ -13,7 +13,7 @@ from posterion.plans.network import Network, Variable
 from posterion.sources.storage import BROADCAST_ROWS
 
 MAX_STATES = 100_000         # values a discrete column may have
-DIRECT_BINS = 512            # bins written as one comparison tree
+DIRECT_BINS = 128            # bins written as one comparison tree
 
 
 @dataclass(frozen=True)
@@ -156,23 +156,25 @@ def interval_position(v: Column, bins: list[Interval]) -> Column:
 
 
 def assign(df: DataFrame, column: str, bins: list[Interval], *, name: str) -> DataFrame:
-    """The label of each value's bin. Long bin lists become an equi-join on a coarse
-    range of bins followed by the interval test, never a product of rows and bins."""
+    """The label of each value's bin. Long bin lists become an equi-join on
+    equal-width cells followed by the interval test, never a product of rows and bins."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     v = as_double(quoted(column), fields[column])
     if len(bins) <= DIRECT_BINS:
         names = F.array(*[F.lit(label(b)) for b in bins])
         return df.withColumn(name, F.get(names, interval_position(v, bins)))
-    ordered = sorted(bins, key=lambda b: (b.lo, b.hi))
-    cuts = sorted({b.lo for b in ordered[DIRECT_BINS // 8::DIRECT_BINS // 8]})
-    rows = []
-    for b in ordered:
-        first = sum(c <= b.lo for c in cuts)
-        last = sum(c < b.hi or (c == b.hi and b.hi_closed) for c in cuts)
-        rows += [(g, b.lo, b.hi, b.lo_closed, b.hi_closed, label(b)) for g in range(first, last + 1)]
+    finite = sorted(e for b in bins for e in (b.lo, b.hi) if not math.isinf(e))
+    lo, span, cells = finite[0], max(finite[-1] - finite[0], 1e-300), 4 * len(bins)
+
+    def cell(x: float) -> int:
+        return 0 if x <= lo else cells - 1 if x >= finite[-1] else min(cells - 1, math.floor((x - lo) / span * cells))
+
+    rows = [(g, b.lo, b.hi, b.lo_closed, b.hi_closed, label(b)) for b in bins for g in range(cell(b.lo), cell(b.hi) + 1)]
     table = df.sparkSession.createDataFrame(
         rows, "__g int, __lo double, __hi double, __lc boolean, __hc boolean, __label string")
-    keyed = df.withColumn("__v", v).withColumn("__k", interval_index(F.col("__v"), cuts))
+    place = F.floor((F.col("__v") - F.lit(lo)) / F.lit(span) * cells)
+    inside = F.when(F.col("__v") <= lo, 0).when(F.col("__v") >= finite[-1], cells - 1).otherwise(F.least(F.lit(cells - 1), place)).cast("int")
+    keyed = df.withColumn("__v", v).withColumn("__k", F.when(F.col("__v").isNotNull(), inside))
     ok = (F.col("__k") == F.col("__g")) & ((F.col("__v") > F.col("__lo")) | (F.col("__lc") & (F.col("__v") == F.col("__lo")))) & (
         (F.col("__v") < F.col("__hi")) | (F.col("__hc") & (F.col("__v") == F.col("__hi"))))
     small = F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import hash_bits, interval_index, quoted
+from posterion.functions.scalars import hash_bits, interval_index, lookup, quoted
 from posterion.sources.storage import sized
 
 EXACT_VALUES = 500_000       # distinct values the built-in exact percentile may hold
@@ -123,14 +123,17 @@ def near_equal_groups(df: DataFrame, value: str, id_col: str, k: int, *, name: s
     return df.withColumn(name, F.when(v.isNotNull(), group))
 
 
-def hashed_rank(df: DataFrame, id_col: str, seed, *, by: str | None = None, buckets: int = 4096,
+def hashed_rank(df: DataFrame, id_col: str, seed, *, by: str | None = None, buckets: int | None = None,
                 name: str = "rank") -> DataFrame:
     """Exact 1-based rank in hash order, overall or within a class, as a two-level count.
 
     The hash is uniform, so equal hash ranges are equal work: rows are numbered inside
     (class, range), and a small table of range sizes gives each range its offset. A class
-    with a third of all rows is spread over all ranges.
+    with a third of all rows is spread over all ranges. The number of ranges follows the row
+    count, so a range stays near half a million rows.
     """
+    if buckets is None:
+        buckets = max(256, min(1_000_000, df.count() // 500_000))
     h = hash_bits(quoted(id_col), seed)
     part = [quoted(by)] if by else []
     base = df.withColumn("__h", h).withColumn("__b", F.floor(F.col("__h") * buckets / 4294967296).cast("int"))
@@ -147,8 +150,7 @@ def hashed_rank(df: DataFrame, id_col: str, seed, *, by: str | None = None, buck
     match = F.col("__b") == F.col("__ob")
     if by:
         match = match & quoted(by).eqNullSafe(F.col("__by"))
-    # without classes there are at most `buckets` offsets; with classes their number is counted
-    out = numbered.join(sized(offsets) if by else F.broadcast(offsets), match, "inner")
+    out = numbered.join(sized(offsets), match, "inner")
     return out.select(*[quoted(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(name),
                       F.col("__total").cast("bigint").alias(f"{name}_of"))
 
@@ -160,16 +162,27 @@ def group_of_rank(rank: Column, total: Column, k: int) -> Column:
     return F.when(rank <= cut, F.ceil(rank / (base + 1))).otherwise(extra + F.ceil((rank - cut) / F.greatest(base, F.lit(1)))).cast("int")
 
 
-def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int = 256) -> DataFrame:
-    """1..N by a unique numeric column, numbered inside value ranges plus range offsets."""
+def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int = 64, parts: int = 256) -> DataFrame:
+    """1..N by a unique numeric column, numbered inside value ranges plus range offsets.
+
+    Ranges hold equal shares of rows (approximate percentiles) and each is cut into equal-width
+    parts, so the numbering runs in up to ranges x parts separate groups.
+    """
     v = quoted(order_col)
-    cuts = df.agg(F.percentile_approx(v, [i / ranges for i in range(1, ranges)], ACCURACY)).head()[0] or []
-    cuts = sorted(set(cuts))
-    base = df.withColumn("__b", interval_index(v, cuts))
+    row = df.agg(F.percentile_approx(v, [i / ranges for i in range(1, ranges)], ACCURACY).alias("q"),
+                 F.min(v).alias("lo"), F.max(v).alias("hi")).head()
+    if row["lo"] is None:
+        return df.withColumn(name, F.lit(None).cast("bigint"))
+    cuts = sorted(set(row["q"]))
+    starts, ends = [row["lo"], *cuts], [*cuts, row["hi"]]
+    width = [max(float(b - a), 1e-300) for a, b in zip(starts, ends)]
+    ranged = df.withColumn("__c", interval_index(v, cuts))
+    part = F.floor((v - lookup(starts, F.col("__c"))) / lookup(width, F.col("__c")) * parts)
+    base = ranged.withColumn("__b", F.col("__c") * parts + F.least(F.lit(parts - 1), part).cast("int"))
     sizes = base.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     numbered = base.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(v)))
-    # at most `ranges` offsets
+    # at most ranges x parts offsets
     return numbered.join(F.broadcast(offsets), F.col("__b") == F.col("__ob")).select(
         *[quoted(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(name))

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from posterion.functions.scalars import finite, hash_bits, hash_uniform, quoted
 from posterion.operators.fit import collect_cells, discover, statistics
 from posterion.operators.mixture import Run, column_starts, held_out_loglikelihoods, hub_of, run_batch, starting_model
-from posterion.operators.profile import single_state_columns
 from posterion.operators.ranking import group_of_rank, hashed_rank
 from posterion.operators.score import ModelStatistics, MostLikelyState, score
 from posterion.plans.model import Model, Moments
@@ -59,9 +58,9 @@ def same_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fit_folds(df: DataFrame, network: Network, k: int, *, weight: str | None = None, alpha: float = 0.0,
-              fold: str = FOLD) -> Model:
+              fold: str = FOLD, known: tuple[Network, dict[str, float]] | None = None) -> Model:
     """One model whose parameters are indexed by fold, each fitted on all other folds."""
-    network, centres = discover(df.select(*[quoted(c) for c in df.columns if c != fold]), network)
+    network, centres = known or discover(df, network)
     whole = network.with_common_parent(Variable(fold, "discrete", tuple(str(i) for i in range(k))))
     cells = collect_cells(statistics(df, whole, centres, weight=weight))
     return Model.from_statistics(whole, _complement(whole, cells, k, fold), centres, alpha=alpha)
@@ -113,15 +112,15 @@ def cross_validate(df: DataFrame, templates: dict[str, Network], target: str, *,
                    alpha: float = 0.0, fold: str = FOLD) -> DataFrame:
     """`fold, template, accuracy` of the held-out most likely state.
 
-    Columns with a single state are left out first. Per template: one fitting scan for all
-    folds and one scoring scan.
+    Columns with a single state are left out. Per template: one scan for states, one to fit all
+    folds, one to score.
     """
     result = None
     for label, network in templates.items():
-        present = df.select(*[quoted(n) for n in network.observed()], quoted(fold))
-        gone = single_state_columns(present, [n for n in network.observed("discrete") if n != target])
-        kept = network.without(gone)
-        model = fit_folds(df.filter(quoted(target).isNotNull()), kept, k, weight=weight, alpha=alpha, fold=fold)
+        rows = df.filter(quoted(target).isNotNull())
+        found, centres = discover(rows, network)
+        kept = found.without([n for n in found.observed("discrete") if n != target and len(found[n].states) <= 1])
+        model = fit_folds(rows, kept, k, weight=weight, alpha=alpha, fold=fold, known=(kept, centres))
         scored = score(df, model, [MostLikelyState(target, suffix="__predicted")])
         right = (quoted(f"{target}__predicted") == quoted(target).cast("string")).cast("double")
         part = scored.groupBy(quoted(fold).alias("fold")).agg(F.avg(right).alias("accuracy")).select(
