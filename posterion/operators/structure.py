@@ -62,14 +62,15 @@ def contingency(cells: DataFrame, network: Network, tests) -> DataFrame:
 
 def information(counts: DataFrame) -> DataFrame:
     """`test, total, mi, g2, nx, ny, nz`: (conditional) mutual information and G2 per test.
-    The count table has at most |X||Y||Z| rows per test."""
+    The count table has at most |X||Y||Z| rows per test, so its state sets are small."""
     def over(*c):
         return F.sum("n").over(Window.partitionBy("test", *c)).cast("double")
-    t = counts.select("*", over().alias("total"), over("x", "z").alias("nxz"), over("y", "z").alias("nyz"), over("z").alias("nz"))
+    # one exchange by test serves every window and the final aggregate
+    t = counts.repartition("test").select("*", over().alias("total"), over("x", "z").alias("nxz"), over("y", "z").alias("nyz"), over("z").alias("nz"))
     term = F.col("n") * F.ln(F.col("n") * F.col("nz") / (F.col("nxz") * F.col("nyz")))
     return t.groupBy("test").agg(
         F.max("total").alias("total"), (F.sum(term) / F.max("total")).alias("mi"), (F.lit(2.0) * F.sum(term)).alias("g2"),
-        F.count_distinct("x").alias("nx"), F.count_distinct("y").alias("ny"), F.count_distinct("z").alias("nz"))
+        *[F.size(F.collect_set(c)).alias(f"n{c}") for c in ("x", "y", "z")])
 
 
 def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None = None) -> DataFrame:
