@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import simhash
+from posterion.llm import importance, mixing, simhash
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -27,3 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_importance_resampling")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "log_weight", "gumbel_key", "selected")
+
+
+@query("op7_curriculum_mix")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
