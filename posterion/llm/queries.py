@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import importance, mixing, simhash
+from posterion.llm import importance, mixing, packing, simhash, wavelet
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -38,3 +41,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_curriculum_mix")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query("op8_bin_slack_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
+    return found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op2_wavelet_token_file")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), VOCABULARY)
+    return wavelet.read_documents(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
