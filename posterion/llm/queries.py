@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import importance, mixing, packing, simhash, wavelet
+from posterion.llm import importance, language, mixing, packing, simhash, topk, wavelet
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,3 +53,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = wavelet.write_shards(table(spark, sf_dir, "documents"), VOCABULARY)
     return wavelet.read_documents(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+TOP_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
+  where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(c.e) = len(q.e)),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= 10"""
+
+
+@query("op3_no_random_access_topk", TOP_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), 10)
+
+
+@query("op4_ppm_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identified(docs, language.train(docs))
