@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import importance, language, mixing, packing, simhash, topk, wavelet
+from posterion.llm import importance, language, mixing, packing, rules, simhash, topk, wavelet
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -74,3 +74,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.identified(docs, language.train(docs))
+
+
+@query("op9_likelihood_ratio_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
