@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import importance, language, mixing, packing, rules, simhash, topk, wavelet
+from posterion.llm import importance, language, mixing, packing, pii, rules, simhash, topk, wavelet
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -79,3 +79,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_likelihood_ratio_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_boosted_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.located(docs, pii.train(spark), "found").select("doc_id", F.col("found.base").alias("base"), F.col("found.every").alias("every"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["ord"] == kind)).cast("long").alias(f"n_{pii.KINDS[kind]}")
+
+    counts = map(count, range(len(pii.KINDS)))
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("every")).alias("spans"))
