@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import importance, language, mixing, packing, pii, rules, simhash, topk, wavelet
+from posterion.llm import html, importance, language, mixing, packing, pii, rules, simhash, topk, wavelet
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -91,3 +91,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = map(count, range(len(pii.KINDS)))
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("every")).alias("spans"))
+
+
+@query("op1_tree_field_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extracted(pages, html.fit(html.training_pages()))
+    return found.select("page_id", "url", F.col("main.text").alias("text"), F.length("main.text").cast("long").alias("n_chars"),
+                        F.col("main.blocks").alias("n_blocks"), F.col("main.certainty").alias("certainty"))
