@@ -99,3 +99,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extracted(pages, html.fit(html.training_pages()))
     return found.select("page_id", "url", F.col("main.text").alias("text"), F.length("main.text").cast("long").alias("n_chars"),
                         F.col("main.blocks").alias("n_blocks"), F.col("main.certainty").alias("certainty"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
