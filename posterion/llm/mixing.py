@@ -58,7 +58,8 @@ def planned(docs: DataFrame, source: str = "source", text: str = "text", weights
     """Every row with size, source_size, target, taken and passes.
 
     passes is an array of (words, position): one entry for each reading of the document. The
-    sources' sizes are collected to share the targets (one row a source); they return by join.
+    sources' sizes are collected to share the targets (one row a source) and return by broadcast of
+    the same rows, so that no shuffle is keyed by the source alone.
     Rows carry what they came with, so leave the text out where it is not needed.
     """
     spark = docs.sparkSession
@@ -76,7 +77,7 @@ def planned(docs: DataFrame, source: str = "source", text: str = "text", weights
     per_source = spark.createDataFrame(
         [(r[src], r["size"], target[names[r[src]]], max(1, -(-r["n"] // cell)), *map(float, schedules[ranked[names[r[src]]] % len(schedules)])) for r in totals],
         f"`{src}` string, source_size long, target double, `{made['__n']}` int, `{made['__a']}` double, `{made['__b']}` double")
-    rows = rows.join(per_source, src).withColumn(cell_no, F.pmod(F.shiftright(hashed, 8), F.col(made["__n"])))
+    rows = rows.join(F.broadcast(per_source), src).withColumn(cell_no, F.pmod(F.shiftright(hashed, 8), F.col(made["__n"])))
 
     cells = rows.groupBy(src, cell_no).agg(F.sum("size").alias(made["__n"]))
     w_cells = Window.partitionBy(src).orderBy(cell_no).rowsBetween(Window.unboundedPreceding, -1)
