@@ -2,7 +2,7 @@
 
 The file's tokenizer normalises to NFC, lower-cases, and splits into letter runs, single digits
 and runs of other signs before it merges, so a text's ids are those of its pre-tokens one after
-the other, and each distinct pre-token is encoded once for each Python worker. Texts for which
+the other. Each worker remembers the ids of pre-tokens. Texts for which
 that is not certain (special-token marks, text not in NFC, capitals with odd lower case) are encoded in one piece.
 """
 
@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 import regex
 
-MAX_CACHED = 250_000
+MAX_CACHED = 500_000
 # the pre-token rule of the file, on lower-case text
 ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 UNICODE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -54,26 +54,24 @@ class Encoder:
                 plain or not PLACED.search(text) and unicodedata.is_normalized("NFC", text)):
             return self.direct(text)
         found = (ASCII if plain else UNICODE).findall(text.lower())
-        try:
-            return b"".join(map(self.young.__getitem__, found))
-        except KeyError:
-            self._learn(found)
-            return b"".join(map(self.young.__getitem__, found))
+        ids = list(map(self.young.get, found))
+        if None in ids:
+            if len(self.young) > MAX_CACHED:                # what is not asked for again is forgotten in time
+                self.old, self.young = self.young, {}
+            names = []
+            for piece in {p for p, i in zip(found, ids) if i is None}:
+                own = self.old.get(piece)
+                if own is None:
+                    names.append(piece)
+                else:
+                    self.young[piece] = own
+            for at in range(0, len(names), 512):
+                self._learn(names[at:at + 512])
+            ids = [self.young[p] if i is None else i for p, i in zip(found, ids)]
+        return b"".join(ids)
 
-    def _learn(self, found: list[str]) -> None:
-        if len(self.young) > MAX_CACHED:                 # what is not asked for again is forgotten in time
-            self.old, self.young = self.young, {}
-        names = []
-        for name in set(found).difference(self.young):
-            ids = self.old.get(name)
-            if ids is None:
-                names.append(name)
-            else:
-                self.young[name] = ids
-        for at in range(0, len(names), 512):
-            self._learn_some(names[at:at + 512])
-
-    def _learn_some(self, names: list[str]) -> None:
+    def _learn(self, names: list[str]) -> None:
+        """Encode pre-tokens side by side; the library says which of them each id belongs to."""
         joined = self.tokenizer.encode(" ".join(names), add_special_tokens=False)
         words = np.array(joined.word_ids, np.int64)
         if not len(words) or words[-1] != len(names) - 1:

@@ -50,7 +50,7 @@ class WaveletMatrix:
             ones = np.bitwise_count(planes[-1].view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
             ranks.append(np.concatenate([[0], np.cumsum(ones)]).astype("<u4"))
             zeros.append(n - int(ranks[-1][-1]))
-            a = np.concatenate([a[~bit], a[bit]])
+            a = np.concatenate([np.compress(~bit, a), np.compress(bit, a)])
         return cls(n, planes, zeros, ranks)
 
     def bits(self, level: int) -> np.ndarray:
@@ -131,8 +131,8 @@ class WaveletMatrix:
         a = np.zeros(self.n, np.uint16 if depth <= 16 else np.uint32)
         for level in range(depth - 1, -1, -1):
             bit, zeros, out = self.bits(level), self.zeros[level], np.empty_like(a)
-            out[~bit] = a[:zeros]
-            out[bit] = a[zeros:] | a.dtype.type(1 << (depth - 1 - level))
+            out[np.flatnonzero(~bit)] = a[:zeros]
+            out[np.flatnonzero(bit)] = a[zeros:] | a.dtype.type(1 << (depth - 1 - level))
             a = out
         return a.astype("<u4")
 
