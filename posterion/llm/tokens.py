@@ -16,10 +16,10 @@ import unicodedata
 import numpy as np
 import regex
 
-MAX_CACHED = 500_000
+MAX_CACHED = 1_000_000
 # the pre-token rule of the file, on lower-case text
-ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-UNICODE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+ASCII = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+")
+UNICODE = regex.compile(r"\p{L}+|\p{N}|'(?:s|t|re|ve|m|ll|d)|[^\s\p{L}\p{N}]+")
 CONTROL = re.compile("[\x1c-\x1f]")        # white space to one library and signs to the other
 PLACED = re.compile("[\u03a3\u0130]")      # capitals whose lower case is not one letter for one, whatever the place
 
@@ -55,7 +55,9 @@ class Encoder:
             return self.direct(text)
         found = (ASCII if plain else UNICODE).findall(text.lower())
         ids = list(map(self.young.get, found))
-        if None in ids:
+        try:
+            return b"".join(ids)
+        except TypeError:                                   # some are not known yet
             if len(self.young) > MAX_CACHED:                # what is not asked for again is forgotten in time
                 self.old, self.young = self.young, {}
             names = []
@@ -67,8 +69,7 @@ class Encoder:
                     self.young[piece] = own
             for at in range(0, len(names), 512):
                 self._learn(names[at:at + 512])
-            ids = [self.young[p] if i is None else i for p, i in zip(found, ids)]
-        return b"".join(ids)
+            return b"".join([self.young[p] if i is None else i for p, i in zip(found, ids)])
 
     def _learn(self, names: list[str]) -> None:
         """Encode pre-tokens side by side; the library says which of them each id belongs to."""
