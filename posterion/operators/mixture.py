@@ -339,7 +339,9 @@ def fit_incomplete(df: DataFrame, network: Network, *, iterations: int = 100, to
     fields = {f.name: f.dataType for f in df.schema.fields}
     w = quoted(weight).cast("double") if weight else F.lit(1.0)
     cells = reused(df.groupBy(*[state_index(quoted(n), network[n].states, fields[n]).alias(n) for n in names])
-                   .agg(F.sum(w).alias("__weight")).withColumn("__cell", F.xxhash64(*names)))
+                   .agg(F.sum(w).alias("__weight"))
+                   # a key of the values themselves, with a mark for each gap: hashes pass over nulls
+                   .withColumn("__cell", F.concat_ws(",", *[F.coalesce(quoted(n).cast("string"), F.lit("?")) for n in names])))
     named = cells.select("__cell", "__weight", *[
         F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
     model = Model.from_statistics(network, collect_cells(statistics(named, network, centres, weight="__weight")), centres)

@@ -163,26 +163,27 @@ def group_of_rank(rank: Column, total: Column, k: int) -> Column:
 
 
 def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int = 64, parts: int = 256) -> DataFrame:
-    """1..N by a unique numeric column, numbered inside value ranges plus range offsets.
+    """1..N by a unique numeric column, nulls last, numbered inside value ranges plus range offsets.
 
     Ranges hold equal shares of rows (approximate percentiles) and each is cut into equal-width
-    parts, so the numbering runs in up to ranges x parts separate groups.
+    parts, so the numbering runs in up to ranges x parts separate groups. Rows without a value
+    follow in as many groups by hash.
     """
     v = quoted(order_col)
     row = df.agg(F.percentile_approx(v, [i / ranges for i in range(1, ranges)], ACCURACY).alias("q"),
                  F.min(v).alias("lo"), F.max(v).alias("hi")).head()
-    if row["lo"] is None:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
-    cuts = sorted(set(row["q"]))
-    starts, ends = [row["lo"], *cuts], [*cuts, row["hi"]]
+    cuts = sorted(set(row["q"] or []))
+    low, high = (0, 0) if row["lo"] is None else (row["lo"], row["hi"])
+    starts, ends = [low, *cuts], [*cuts, high]
     width = [max(float(b - a), 1e-300) for a, b in zip(starts, ends)]
     ranged = df.withColumn("__c", interval_index(v, cuts))
     part = F.floor((v - lookup(starts, F.col("__c"))) / lookup(width, F.col("__c")) * parts)
-    base = ranged.withColumn("__b", F.col("__c") * parts + F.least(F.lit(parts - 1), part).cast("int"))
+    last = F.lit(len(starts) * parts) + F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(parts)).cast("int")
+    base = ranged.withColumn("__b", F.when(v.isNull(), last).otherwise(F.col("__c") * parts + F.least(F.lit(parts - 1), part).cast("int")))
     sizes = base.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    numbered = base.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(v)))
+    numbered = base.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(v.asc_nulls_last())))
     # at most ranges x parts offsets
     return numbered.join(F.broadcast(offsets), F.col("__b") == F.col("__ob")).select(
         *[quoted(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(name))

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def _shared_folder(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def _shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, and where it is unset a folder of the warehouse, which executors share too."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir") + "/_stage")
+
+
+def _removed_at_end(spark: SparkSession, path: str) -> str:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new path for a written table, in the cluster's shared folder where one is set."""
-    root = _shared_folder(spark) or tempfile.mkdtemp(prefix="posterion-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path for a written table in the shared folder; the session removes it when it ends."""
+    return _removed_at_end(spark, f"{_shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def reused(df: DataFrame) -> DataFrame:
@@ -26,7 +32,7 @@ def reused(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_shared_folder(df.sparkSession) or tempfile.mkdtemp(prefix="posterion-"))
+        sc.setCheckpointDir(_shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -203,3 +203,29 @@ def test_selectors_and_regression(spark):
                                             "id int, a double, b double, y double"), "id", 3, 0)
     got = {r["subset"]: r["score"] for r in pick_regressors(df, "y", [("a",), ("b",)]).groupBy("subset").agg(F.avg("score").alias("score")).collect()}
     assert got["a"] > 0.99 and got["b"] < 0.1
+
+
+def test_two_missing_columns_match_plain_em(spark):
+    """Gaps in different columns are different cells: the weights equal those of EM by hand."""
+    rows = [(str(a), str(b)) for a, b, n in ((1, 1, 6), (1, 2, 3), (2, 1, 2), (2, 2, 9)) for _ in range(n)]
+    rows += [(None, "1")] * 5 + [("2", None)] * 4 + [(None, "2")] * 3
+    df = spark.createDataFrame(rows, "a string, b string")
+    model = fit_incomplete(df, with_edges(independent(discrete=["a", "b"]), [("a", "b")]), iterations=60, tolerance=0.0)
+    joint = {(a, b): 0.25 for a in "12" for b in "12"}
+    for _ in range(400):
+        seen = dict.fromkeys(joint, 0.0)
+        for a, b in rows:
+            fits = {k: p for k, p in joint.items() if a in (None, k[0]) and b in (None, k[1])}
+            for k, p in fits.items():
+                seen[k] += p / sum(fits.values())
+        joint = {k: n / len(rows) for k, n in seen.items()}
+    first = joint["1", "1"] + joint["1", "2"]
+    assert model.dense("a")[0][0] == pytest.approx(first, abs=1e-4)
+    assert model.dense("b")[0][0] == pytest.approx(joint["1", "1"] / first, abs=1e-4)
+
+
+def test_dense_ids_number_rows_without_a_value(spark):
+    from posterion.operators.ranking import dense_ids
+    df = spark.createDataFrame([(i if i % 3 else None, i) for i in range(30)], "v int, k int")
+    got = sorted((r.ix, r.v) for r in dense_ids(df, "v").collect())
+    assert [i for i, _ in got] == list(range(1, 31)) and [v for _, v in got[:20]] == [i for i in range(30) if i % 3] and got[20][1] is None
