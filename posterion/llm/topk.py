@@ -62,30 +62,40 @@ class Lists:
     """A block's sorted lists: values by rank, and each candidate's rank in each list."""
 
     def __init__(self, values: np.ndarray):
-        self.values = values.astype(np.float64)         # exact: products stay under 2 ** 53
         n, dim = values.shape
+        largest = float(np.abs(values).max()) if values.size else 0.0
+        # sums of whole numbers are exact under 2 ** 24 in the short form, under 2 ** 53 in the long one
+        self.short = dim * largest * largest < 2 ** 24
+        self.values = values.astype(np.float32 if self.short else np.float64)
+        self.largest = largest
         order = np.argsort(values, axis=0, kind="stable")
         self.sorted = np.take_along_axis(self.values, order, axis=0)
-        self.rank = np.empty((n, dim), np.int32)
-        np.put_along_axis(self.rank, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
+        self.rank = np.empty((n, dim), np.int16 if n <= 32_000 else np.int32)
+        np.put_along_axis(self.rank, order, np.arange(n, dtype=self.rank.dtype)[:, None], axis=0)
 
     def top(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """(score, id) of the k best candidates other than the query's own id."""
-        q = query.astype(np.float64)
         n, dim = self.values.shape
+        if self.short and np.abs(query).max(initial=0) > self.largest:
+            self.short, self.values, self.sorted = False, self.values.astype(np.float64), self.sorted.astype(np.float64)
+        q = query.astype(self.values.dtype)
         alive = np.flatnonzero(ids != own)
         far = np.where(q >= 0, self.sorted[0], self.sorted[-1]) * q if n else q     # the least a list can give
-        depth = max(1, n // 8)
+        depth, step = max(1, n // 2), max(1, n // 8)
+        values, rank = self.values, self.rank
+        if len(alive) < n:
+            values, rank = values[alive], rank[alive]
         while len(alive) > max(k, FEW) and depth < n:
             last = np.where(q >= 0, self.sorted[n - depth], self.sorted[depth - 1]) * q
-            rank = self.rank[alive]
-            read = np.where(q >= 0, rank >= n - depth, rank < depth)
-            products = np.where(read, self.values[alive] * q, 0.0).sum(axis=1)
-            lower = products + (~read) @ far
-            upper = products + (~read) @ last
+            read = (np.where(q >= 0, rank >= n - depth, rank < depth)).astype(q.dtype)
+            # read entries count in full; of the others the list's far end is the least and the last value the most
+            partial = np.einsum("ij,ij,j->i", values, read, q)
+            unread = np.stack([far.sum() - read @ far, last.sum() - read @ last])
+            lower, upper = partial + unread
             bar = np.partition(lower, len(alive) - k)[len(alive) - k]
-            alive = alive[upper >= bar]
-            depth = min(n, depth + max(1, n // 8))
+            stay = upper >= bar
+            alive, values, rank = alive[stay], values[stay], rank[stay]
+            depth = min(n, depth + step)
         scores = (self.values[alive] @ q).astype(np.int64)
         best = np.lexsort((ids[alive], -scores))[:k]
         return list(zip(scores[best].tolist(), ids[alive][best].tolist()))
