@@ -1,9 +1,10 @@
-"""Token ids of whole texts by a tokenizer file, with a cache of pre-tokens.
+"""Token ids of whole texts by a tokenizer file, with a cache of words.
 
 The file's tokenizer normalises to NFC, lower-cases, and splits into letter runs, single digits
-and runs of other signs before it merges, so a text's ids are those of its pre-tokens one after
-the other. Each worker remembers the ids of pre-tokens. Texts for which
-that is not certain (special-token marks, text not in NFC, capitals with odd lower case) are encoded in one piece.
+and runs of other signs before it merges. White space parts all of these, so a text's ids are
+those of its words one after the other, and a word's ids those of its pre-tokens. Each worker
+remembers the ids of words and pre-tokens of ordinary length. Texts for which that is not certain
+(special-token marks, text not in NFC, capitals with odd lower case) are encoded in one piece.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import numpy as np
 import regex
 
 MAX_CACHED = 1_000_000
+MAX_LETTERS = 48           # longer words and pre-tokens are not remembered
+TOGETHER = 512             # pre-tokens encoded in one call
 # the pre-token rule of the file, on lower-case text
 ASCII = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+")
 UNICODE = regex.compile(r"\p{L}+|\p{N}|'(?:s|t|re|ve|m|ll|d)|[^\s\p{L}\p{N}]+")
@@ -36,8 +39,12 @@ def encoder(path: str) -> "Encoder":
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.merger = Tokenizer.from_file(path)             # for pre-tokens, which are normalised and split already
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -53,31 +60,39 @@ class Encoder:
         if "<|" in text or CONTROL.search(text) or not (
                 plain or not PLACED.search(text) and unicodedata.is_normalized("NFC", text)):
             return self.direct(text)
-        found = (ASCII if plain else UNICODE).findall(text.lower())
-        ids = list(map(self.young.get, found))
+        words = text.lower().split()
+        ids = list(map(self.young.get, words))
         try:
             return b"".join(ids)
         except TypeError:                                   # some are not known yet
-            if len(self.young) > MAX_CACHED:                # what is not asked for again is forgotten in time
-                self.old, self.young = self.young, {}
-            names = []
-            for piece in {p for p, i in zip(found, ids) if i is None}:
-                own = self.old.get(piece)
-                if own is None:
-                    names.append(piece)
-                else:
-                    self.young[piece] = own
-            for at in range(0, len(names), 512):
-                self._learn(names[at:at + 512])
-            return b"".join([self.young[p] if i is None else i for p, i in zip(found, ids)])
+            new = self._words({w for w, i in zip(words, ids) if i is None}, ASCII if plain else UNICODE)
+            return b"".join([new[w] if i is None else i for w, i in zip(words, ids)])
 
-    def _learn(self, names: list[str]) -> None:
+    def _words(self, words: set[str], rule) -> dict[str, bytes]:
+        """The ids of words that are not in the younger memory."""
+        if len(self.young) > MAX_CACHED:                    # what is not asked for again is forgotten in time
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found = {w: old[w] for w in words if w in old} if old else {}
+        whole = [w for w in words if w not in found and w.isalpha()]                 # pre-tokens themselves
+        parts = {w: rule.findall(w) for w in words if w not in found and not w.isalpha()}
+        known = {}
+        for piece in {p for own in parts.values() for p in own}.difference(whole):
+            known[piece] = young.get(piece) or old.get(piece)
+        names = whole + [p for p, ids in known.items() if ids is None]
+        for at in range(0, len(names), TOGETHER):
+            known |= self._learn(names[at:at + TOGETHER])
+        found |= known
+        found |= {w: b"".join([known[p] for p in own]) for w, own in parts.items()}
+        young |= {name: ids for name, ids in found.items() if len(name) <= MAX_LETTERS}
+        return found
+
+    def _learn(self, names: list[str]) -> dict[str, bytes]:
         """Encode pre-tokens side by side; the library says which of them each id belongs to."""
-        joined = self.tokenizer.encode(" ".join(names), add_special_tokens=False)
+        joined = self.merger.encode(" ".join(names), add_special_tokens=False)
         words = np.array(joined.word_ids, np.int64)
         if not len(words) or words[-1] != len(names) - 1:
-            self.young |= {name: self.direct(name) for name in names}
-            return
+            return {name: self.direct(name) for name in names}
         data = np.array(joined.ids, "<u4").tobytes()
         ends = (4 * np.searchsorted(words, np.arange(len(names) + 1))).tolist()
-        self.young |= {name: data[a:b] for name, a, b in zip(names, ends, ends[1:])}
+        return {name: data[a:b] for name, a, b in zip(names, ends, ends[1:])}
