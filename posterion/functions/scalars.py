@@ -104,6 +104,11 @@ def state_index(c: Column, states, dtype: T.DataType = T.StringType()) -> Column
     return F.when(c.isNotNull(), tree)
 
 
+def key_text(c: Column) -> Column:
+    """A state's text inside a parent key, where `|` parts the parents: `\\` and `|` are escaped."""
+    return F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+
+
 def hash_bits(id_col: Column, seed) -> Column:
     """32 reproducible bits per (id, seed) as bigint: first 8 hex digits of md5(id:seed)."""
     text = F.concat(id_col.cast("string"), F.lit(f":{seed}"))

@@ -155,9 +155,27 @@ def interval_position(v: Column, bins: list[Interval]) -> Column:
     return expr
 
 
+def _apart(bins: list[Interval]) -> list[tuple[Interval, str]]:
+    """Disjoint pieces of the bins in order, each with the label of the first bin that admits it."""
+    ends = sorted({float(e) for b in bins for e in (b.lo, b.hi)})
+    pieces = []
+    for i, e in enumerate(ends):
+        pieces.append(Interval(e, e, True, True))
+        if i + 1 < len(ends):
+            pieces.append(Interval(e, ends[i + 1], False, False))
+
+    def admits(b: Interval, p: Interval) -> bool:
+        return (b.lo < p.lo or b.lo == p.lo and (b.lo_closed or not p.lo_closed)) and (
+            p.hi < b.hi or p.hi == b.hi and (b.hi_closed or not p.hi_closed))
+
+    first = ((p, next((b for b in bins if admits(b, p)), None)) for p in pieces)
+    return [(p, label(b)) for p, b in first if b is not None]
+
+
 def assign(df: DataFrame, column: str, bins: list[Interval], *, name: str) -> DataFrame:
-    """The label of each value's bin. Long bin lists become an equi-join on
-    equal-width cells followed by the interval test, never a product of rows and bins."""
+    """The label of the first bin that admits each value. Long bin lists become an equi-join
+    on equal-width cells of disjoint pieces followed by the interval test, never a product of
+    rows and bins; both ways give the same rows."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     v = as_double(quoted(column), fields[column])
     if len(bins) <= DIRECT_BINS:
@@ -169,7 +187,7 @@ def assign(df: DataFrame, column: str, bins: list[Interval], *, name: str) -> Da
     def cell(x: float) -> int:
         return 0 if x <= lo else cells - 1 if x >= finite[-1] else min(cells - 1, math.floor((x - lo) / span * cells))
 
-    rows = [(g, b.lo, b.hi, b.lo_closed, b.hi_closed, label(b)) for b in bins for g in range(cell(b.lo), cell(b.hi) + 1)]
+    rows = [(g, b.lo, b.hi, b.lo_closed, b.hi_closed, text) for b, text in _apart(bins) for g in range(cell(b.lo), cell(b.hi) + 1)]
     table = df.sparkSession.createDataFrame(
         rows, "__g int, __lo double, __hi double, __lc boolean, __hc boolean, __label string")
     place = F.floor((F.col("__v") - F.lit(lo)) / F.lit(span) * cells)

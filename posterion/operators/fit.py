@@ -11,7 +11,7 @@ from math import prod
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import as_double, quoted, state_index, state_text
+from posterion.functions.scalars import as_double, key_text, quoted, state_index, state_text
 from posterion.plans.model import Model
 from posterion.plans.network import Network
 
@@ -64,7 +64,7 @@ def sort_states(found, dtype) -> tuple[str, ...]:
 def _parent_key(parents, text) -> Column:
     if not parents:
         return F.lit("")
-    return F.concat_ws("|", *[F.concat(F.lit(f"{p}="), text[p]) for p in parents])
+    return F.concat_ws("|", *[F.concat(F.lit(f"{p}="), key_text(text[p])) for p in parents])
 
 
 def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,

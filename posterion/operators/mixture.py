@@ -89,6 +89,7 @@ def fit_mixture(df: DataFrame, network: Network, *, iterations: int = 100, toler
     """P5/P11/P12/P15 and P6 (class partly observed): EM from a deterministic start.
 
     Stops after `iterations` or when the loglikelihood gains less than `tolerance` of itself.
+    The model's loglikelihood is that of the parameters returned.
     """
     columns = [n for n in network.observed() if n in df.columns]
     if start and start not in columns:
@@ -115,9 +116,10 @@ def _iterate(table: DataFrame, network: Network, iterations: int, tolerance: flo
         centres = discover(table, network)[1]
     if is_star(network):
         run = run_batch(table, [Run(model)], centres, iterations=iterations, tolerance=tolerance, weight=weight)[0]
-        return replace(run.model, iterations=run.iterations, converged=run.converged, loglikelihood=run.last)
+        ll = _arrow_expectations(table, [run], centres, weight, None)[0]["ll",]
+        return replace(run.model, iterations=run.iterations, converged=run.converged, loglikelihood=ll)
     last, converged, t = None, False, 0
-    for t in range(1, iterations + 1):
+    for step in range(1, iterations + 2):          # the last step only scores the returned model
         plan, encoded = _plan(table, model)
         r = plan.responsibilities()
         ll_col = plan.evidence_score()
@@ -127,9 +129,10 @@ def _iterate(table: DataFrame, network: Network, iterations: int, tolerance: flo
         ll = scored.agg(F.sum(ll_col * (quoted(weight) if weight else F.lit(1.0)))).head()[0]
         if last is not None and abs(ll - last) <= tolerance * abs(last):
             converged = True
+        last, t = ll, min(step, iterations)
+        if converged or step > iterations:
             break
         model = _maximise(scored, network, centres, r, weight)
-        last = ll
     return replace(model, iterations=t, converged=converged, loglikelihood=last)
 
 

@@ -215,7 +215,8 @@ def soft_except(model: Model, variable: str, states) -> dict[str, float]:
 
 def gaussian_posterior(scenarios: DataFrame, model: Model, heads, *, key, tail=(), soft=(), evidence=None) -> DataFrame:
     """M3/M4: per scenario and tail combination the mean vector and covariance matrix of
-    continuous heads, moment-matched over everything hidden."""
+    continuous heads, moment-matched over everything hidden. Combinations of parent states that
+    no Gaussian was fitted for are left out, as in score()."""
     net = model.network
     heads, tail = list(heads), list(tail)
     if any(net[t].kind != "discrete" for t in tail):
@@ -251,9 +252,11 @@ def gaussian_posterior(scenarios: DataFrame, model: Model, heads, *, key, tail=(
     idx = _radix(model, parents, {n: F.col(s) for n, s in slot.items()})
     keys = [quoted(k) for k in key]
     part = Window.partitionBy(*keys, *[slot[t] for t in tail])
-    w = rows.withColumn("__p", F.exp(F.col("__lw") - F.max("__lw").over(part)))
-    w = w.select("*", *[lookup(c, idx).alias(f"__m{i}") for i, c in enumerate(mean_cells)],
-                 *[lookup(c, idx).alias(f"__v{i}") for i, c in enumerate(cov_cells)])
+    w = rows.select("*", *[lookup(c, idx).alias(f"__m{i}") for i, c in enumerate(mean_cells)],
+                    *[lookup(c, idx).alias(f"__v{i}") for i, c in enumerate(cov_cells)])
+    for i in range(d):
+        w = w.filter(~F.isnan(f"__m{i}"))
+    w = w.withColumn("__p", F.exp(F.col("__lw") - F.max("__lw").over(part)))
     sums = [F.sum("__p").alias("__n")] + [F.sum(F.col("__p") * F.col(f"__m{i}")).alias(f"__sm{i}") for i in range(d)]
     sums += [F.sum(F.col("__p") * (F.col(f"__v{i * d + k}") + F.col(f"__m{i}") * F.col(f"__m{k}"))).alias(f"__sv{i * d + k}")
              for i in range(d) for k in range(d)]

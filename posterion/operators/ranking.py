@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import hash_bits, interval_index, lookup, quoted
+from posterion.functions.scalars import INTEGRAL, hash_bits, interval_index, lookup, quoted
 from posterion.sources.storage import sized
 
 EXACT_VALUES = 500_000       # distinct values the built-in exact percentile may hold
@@ -104,9 +104,11 @@ def near_equal_groups(df: DataFrame, value: str, id_col: str, k: int, *, name: s
     """Group number 1..k by (value, id) ascending, like ntile(k) over the whole table.
 
     Only the k-1 boundary rows are located (exactly); each row then compares itself with
-    them. No sort, no shuffle, and ties of any size are split by id.
+    them. No sort, no shuffle, and ties of any size are split by id. Integral ids are exact in
+    all 64 bits; other numeric ids count as doubles.
     """
-    v, ident = quoted(value).cast("double"), quoted(id_col).cast("double")
+    v, ident = quoted(value).cast("double"), quoted(id_col)
+    whole = isinstance(df.schema[id_col].dataType, INTEGRAL)
     n = df.agg(F.count(v)).head()[0]
     starts, at = [], 0
     for size in group_sizes(n, k)[:-1]:
@@ -115,14 +117,30 @@ def near_equal_groups(df: DataFrame, value: str, id_col: str, k: int, *, name: s
     ranks = [s for s in starts if s < n]
     values = order_statistics(df, [(v, r) for r in ranks])
     below = df.agg(*[F.count_if(v < F.lit(x)).alias(f"b{i}") for i, x in enumerate(values)]).head() if values else ()
-    ids = order_statistics(df, [(F.when(v == F.lit(x), ident), r - below[i])
-                                for i, (x, r) in enumerate(zip(values, ranks))])
+    tied = [(v == F.lit(x), r - below[i]) for i, (x, r) in enumerate(zip(values, ranks))]
+    ids = _id_statistics(df, ident.cast("bigint"), tied) if whole else order_statistics(
+        df, [(F.when(ok, ident.cast("double")), r) for ok, r in tied])
     group = F.lit(1)
     for x, i in zip(values, ids):
         group = group + F.when((v > F.lit(x)) | ((v == F.lit(x)) & (ident >= F.lit(i))), 1).otherwise(0)
     return df.withColumn(name, F.when(v.isNotNull(), group))
 
 
+def _id_statistics(df: DataFrame, ident: Column, tied) -> list[int]:
+    """The id at a rank among the rows that meet a condition, for each (condition, rank).
+
+    A double holds 53 bits, so the upper and the lower 32 bits are found one after the other.
+    """
+    high, low = F.shiftright(ident, 32), ident.bitwiseAND(F.lit(0xFFFFFFFF))
+    tops = [int(t) for t in order_statistics(df, [(F.when(ok, high.cast("double")), r) for ok, r in tied])]
+    if not tops:
+        return []
+    below = df.agg(*[F.count_if(ok & (high < F.lit(t))).alias(f"b{i}") for i, ((ok, _), t) in enumerate(zip(tied, tops))]).head()
+    rest = order_statistics(df, [(F.when(ok & (high == F.lit(t)), low.cast("double")), r - below[i])
+                                 for i, ((ok, r), t) in enumerate(zip(tied, tops))])
+    return [(t << 32) + int(x) for t, x in zip(tops, rest)]
+
+
 def hashed_rank(df: DataFrame, id_col: str, seed, *, by: str | None = None, buckets: int | None = None,
                 name: str = "rank") -> DataFrame:
     """Exact 1-based rank in hash order, overall or within a class, as a two-level count.

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from posterion.functions.scalars import quoted, state_text
+from posterion.functions.scalars import key_text, quoted, state_text
 from posterion.plans.network import Network
 from posterion.sources.storage import sized
 
@@ -20,7 +20,7 @@ def lookup_probability(df: DataFrame, cpt: DataFrame, node: str, parents, *, nam
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     parents = sorted(parents)
-    key = F.concat(*[F.concat(F.lit(("|" if i else "") + f"{p}="), state_text(quoted(p), fields[p]))
+    key = F.concat(*[F.concat(F.lit(("|" if i else "") + f"{p}="), key_text(state_text(quoted(p), fields[p])))
                      for i, p in enumerate(parents)]) if parents else F.lit("")
     table = cpt.filter(F.col("node") == node).select(
         F.col("parent_key").alias("__pk"), F.col("state").alias("__st"), F.col("p").alias("__p"))
@@ -45,7 +45,7 @@ def state_grid(spark: SparkSession, network: Network, names) -> DataFrame:
 def _family_grid(spark: SparkSession, network: Network, node: str) -> DataFrame:
     parents = network.parents(node)
     grid = state_grid(spark, network, [*parents, node])
-    key = F.concat_ws("|", *[F.concat(F.lit(f"{p}="), quoted(p)) for p in parents]) if parents else F.lit("")
+    key = F.concat_ws("|", *[F.concat(F.lit(f"{p}="), key_text(quoted(p))) for p in parents]) if parents else F.lit("")
     return grid.select(F.lit(node).alias("node"), key.alias("parent_key"), quoted(node).alias("state"))
 
 

@@ -178,7 +178,8 @@ class Model:
 
 
 def parent_key(parents, states) -> str:
-    return "|".join(f"{p}={s}" for p, s in zip(parents, states))
+    """The text key of a parent combination, written as functions.scalars.key_text does."""
+    return "|".join(f"{p}=" + str(s).replace("\\", "\\\\").replace("|", "\\|") for p, s in zip(parents, states))
 
 
 def log_probability(p: float) -> float:

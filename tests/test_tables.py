@@ -61,6 +61,37 @@ def test_long_bin_lists_join_like_short_ones(spark, monkeypatch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("limit", [3, 128])
+def test_overlapping_bins_give_the_first_match_at_any_length(spark, monkeypatch, limit):
+    monkeypatch.setattr(B, "DIRECT_BINS", limit)
+    bins = B.defined([(0, 5), (3, 8, True, True), (-math.inf, 4), (8, 8, True, True), (7, math.inf, False, False)])
+    values = [-1.0, 0.0, 3.0, 4.5, 5.0, 7.5, 8.0, 8.5, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["v"]: r["s"] for r in B.assign(df, "v", bins, name="s").collect()}
+    names = [B.label(b) for b in bins]
+    want = [names[i] for i in (2, 0, 0, 0, 1, 1, 1, 4)] + [None]
+    assert got == dict(zip(values, want)) and B.assign(df, "v", bins, name="s").count() == len(values)
+
+
+def test_groups_split_ties_by_ids_beyond_double(spark):
+    df = spark.range(40).select((F.lit(2 ** 60) + F.col("id") - F.when(F.col("id") % 2 == 0, F.lit(2 ** 61)).otherwise(0)).alias("id"), F.lit(1.0).alias("v"))
+    got = sorted((r["id"], r["g"]) for r in R.near_equal_groups(df, "v", "id", 4, name="g").collect())
+    assert [g for _, g in got] == [g for g in (1, 2, 3, 4) for _ in range(10)]
+
+
+def test_parent_keys_part_states_with_bars(spark):
+    from posterion.operators import fit as L, tables as W
+    from posterion.plans.network import Network, Variable
+    net = Network(tuple(Variable(n, "discrete") for n in ("a", "b", "c")), (("a", "c"), ("b", "c")))
+    df = spark.createDataFrame([("x|b=y", "z", "1"), ("x", "y|b=z", "0"), ("x", "y|b=z", "0")], "a string, b string, c string")
+    model_net, centres = L.discover(df, net)
+    cpt = L.cpt_frame(L.statistics(df, model_net, centres))
+    assert [r["p"] for r in W.lookup_probability(df, cpt, "c", ["a", "b"]).collect()] == [1.0, 1.0, 1.0]
+    model = L.fit(df, net)
+    keys = {r["parent_key"] for r in cpt.filter("node = 'c'").collect()}
+    assert keys == {r["parent_key"] for r in model.cpt_frame(spark).filter("node = 'c' and p > 0").collect()} and len(keys) == 2
+
+
 def test_profile_and_coercion(spark):
     df = spark.createDataFrame([(i, str(i) if i else "x", 0.0 if i % 2 else 1.0, float(i), None) for i in range(30)],
                                "id int, t string, b double, c double, e string")
