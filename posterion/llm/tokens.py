@@ -14,12 +14,10 @@ import re
 import struct
 import unicodedata
 
-import numpy as np
 import regex
 
 MAX_CACHED = 1_000_000
 MAX_LETTERS = 48           # longer words and pre-tokens are not remembered
-TOGETHER = 512             # pre-tokens encoded in one call
 # the pre-token rule of the file, on lower-case text
 ASCII = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+")
 UNICODE = regex.compile(r"\p{L}+|\p{N}|'(?:s|t|re|ve|m|ll|d)|[^\s\p{L}\p{N}]+")
@@ -36,17 +34,43 @@ def encoder(path: str) -> "Encoder":
     return _ENCODERS[path]
 
 
+class Memory(dict):
+    """Ids by word and pre-token; what is not known yet is merged when it is asked for."""
+
+    def __init__(self, merge):
+        self.merge, self.old = merge, {}
+
+    def forget(self):
+        """What is not asked for again is forgotten in time."""
+        if len(self) > MAX_CACHED:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            parts = [word] if word.isalpha() else (ASCII if word.isascii() else UNICODE).findall(word)
+            ids = self.merge(word) if parts == [word] else b"".join([self[p] for p in parts])
+        if len(word) <= MAX_LETTERS:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.merger = Tokenizer.from_file(path)             # for pre-tokens, which are normalised and split already
-        self.merger.normalizer = normalizers.Sequence([])
-        self.merger.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.memory = Memory(self.merged)
+
+    def merged(self, piece: str) -> bytes:
+        """The ids of one pre-token, which is normalised and split already."""
+        if not (piece.isascii() and piece.isprintable()):   # other bytes have signs of their own in the vocabulary
+            piece = self.signs.pre_tokenize_str(piece)[0][0]
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def direct(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -56,43 +80,8 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        plain = text.isascii()
         if "<|" in text or CONTROL.search(text) or not (
-                plain or not PLACED.search(text) and unicodedata.is_normalized("NFC", text)):
+                text.isascii() or not PLACED.search(text) and unicodedata.is_normalized("NFC", text)):
             return self.direct(text)
-        words = text.lower().split()
-        ids = list(map(self.young.get, words))
-        try:
-            return b"".join(ids)
-        except TypeError:                                   # some are not known yet
-            new = self._words({w for w, i in zip(words, ids) if i is None}, ASCII if plain else UNICODE)
-            return b"".join([new[w] if i is None else i for w, i in zip(words, ids)])
-
-    def _words(self, words: set[str], rule) -> dict[str, bytes]:
-        """The ids of words that are not in the younger memory."""
-        if len(self.young) > MAX_CACHED:                    # what is not asked for again is forgotten in time
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        found = {w: old[w] for w in words if w in old} if old else {}
-        whole = [w for w in words if w not in found and w.isalpha()]                 # pre-tokens themselves
-        parts = {w: rule.findall(w) for w in words if w not in found and not w.isalpha()}
-        known = {}
-        for piece in {p for own in parts.values() for p in own}.difference(whole):
-            known[piece] = young.get(piece) or old.get(piece)
-        names = whole + [p for p, ids in known.items() if ids is None]
-        for at in range(0, len(names), TOGETHER):
-            known |= self._learn(names[at:at + TOGETHER])
-        found |= known
-        found |= {w: b"".join([known[p] for p in own]) for w, own in parts.items()}
-        young |= {name: ids for name, ids in found.items() if len(name) <= MAX_LETTERS}
-        return found
-
-    def _learn(self, names: list[str]) -> dict[str, bytes]:
-        """Encode pre-tokens side by side; the library says which of them each id belongs to."""
-        joined = self.merger.encode(" ".join(names), add_special_tokens=False)
-        words = np.array(joined.word_ids, np.int64)
-        if not len(words) or words[-1] != len(names) - 1:
-            return {name: self.direct(name) for name in names}
-        data = np.array(joined.ids, "<u4").tobytes()
-        ends = (4 * np.searchsorted(words, np.arange(len(names) + 1))).tolist()
-        return {name: data[a:b] for name, a, b in zip(names, ends, ends[1:])}
+        self.memory.forget()
+        return b"".join(map(self.memory.__getitem__, text.lower().split()))
