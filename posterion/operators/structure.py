@@ -5,13 +5,12 @@ from __future__ import annotations
 
 import math
 from itertools import combinations
-from math import prod
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from posterion.functions.scalars import as_double, quoted, state_index
-from posterion.operators.fit import FOLD_CELLS, discover
+from posterion.operators.fit import discover
 from posterion.plans.network import Network, would_cycle
 from posterion.plans.templates import independent
 from posterion.sources.storage import reused
@@ -20,14 +19,12 @@ TEST_BATCH = 200             # tests counted by one job
 
 
 def _cells(df: DataFrame, columns, extra=()) -> tuple[DataFrame, Network]:
-    """State positions of the columns with `n`, and the network that names the states; folded
-    to distinct combinations when the grid is small."""
+    """Distinct combinations of state positions with their count `n`, and the network that names
+    the states. Every later count works on combinations, however many rows there are."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     network, _ = discover(df, independent(discrete=columns))
     base = df.select(*[state_index(quoted(c), network[c].states, fields[c]).alias(c) for c in columns], *[quoted(e) for e in extra])
-    if prod(len(network[c].states) + 1 for c in columns) <= FOLD_CELLS:
-        return base.groupBy(*[quoted(c) for c in (*columns, *extra)]).agg(F.count(F.lit(1)).alias("n")), network
-    return base.withColumn("n", F.lit(1).cast("bigint")), network
+    return base.groupBy(*[quoted(c) for c in (*columns, *extra)]).agg(F.count(F.lit(1)).alias("n")), network
 
 
 def _radix(network: Network, columns):
@@ -41,36 +38,45 @@ def contingency(cells: DataFrame, network: Network, tests) -> DataFrame:
     """Counts `test, x, y, z, n` (state positions) of several (a, b, given) triples from one pass;
     rows with a missing value in a triple are left out of it.
 
-    Each row yields one packed number per test, so the shuffle carries partial counts of single
-    bigints.
+    Each combination yields one packed number per test, so the shuffle carries partial counts of
+    a test and a bigint. A test is refused only if its own grid has 2^62 cells or more.
     """
-    sx = max(len(network[a].states) for a, _, _ in tests)
-    sy = max(len(network[b].states) for _, b, _ in tests)
-    sz = max(network.grid_size(g) for _, _, g in tests)
-    if sx * sy * sz * len(tests) >= 2 ** 62:
-        raise ValueError("the conditioning sets have too many state combinations to test")
+    sizes = [(len(network[a].states), len(network[b].states)) for a, b, _ in tests]
     codes = []
-    for i, (a, b, given) in enumerate(tests):
+    for i, ((a, b, given), (sx, sy)) in enumerate(zip(tests, sizes)):
+        if max(sx, 1) * max(sy, 1) * network.grid_size(given) >= 2 ** 62:
+            raise ValueError(f"the states of {[a, b, *given]} have too many combinations to test")
         x, y = quoted(a).cast("bigint"), quoted(b).cast("bigint")
-        codes.append(F.lit(i).cast("bigint") + F.lit(len(tests)) * (x + F.lit(sx) * (y + F.lit(sy) * _radix(network, given))))
-    counts = (cells.select("n", F.explode(F.array(*codes)).alias("code")).filter(F.col("code").isNotNull())
-              .groupBy("code").agg(F.sum("n").alias("n")))
-    rest = F.expr(f"code div {len(tests)}L")
-    return counts.select((F.col("code") % len(tests)).cast("int").alias("test"), rest.alias("r"), "n").select(
-        "test", (F.col("r") % sx).alias("x"), (F.expr(f"r div {sx}L") % sy).alias("y"), F.expr(f"r div {sx * sy}L").alias("z"), "n")
+        code = x + F.lit(sx).cast("bigint") * (y + F.lit(sy).cast("bigint") * _radix(network, given))
+        codes.append(F.struct(F.lit(i).alias("test"), code.alias("code")))
+    counts = (cells.select("n", F.inline(F.array(*codes))).filter(F.col("code").isNotNull())
+              .groupBy("test", "code").agg(F.sum("n").alias("n")))
+    sx, sy = (F.element_at(F.array(*[F.lit(max(s[k], 1)).cast("bigint") for s in sizes]), F.col("test") + 1) for k in (0, 1))
+    wide = counts.select("test", "n", "code", sx.alias("sx"), sy.alias("sy"))
+    return wide.select("test", F.expr("code % sx").alias("x"), F.expr("(code div sx) % sy").alias("y"),
+                       F.expr("code div sx div sy").alias("z"), "n")
 
 
 def information(counts: DataFrame) -> DataFrame:
     """`test, total, mi, g2, nx, ny, nz`: (conditional) mutual information and G2 per test.
-    The count table has at most |X||Y||Z| rows per test, so its state sets are small."""
-    def over(*c):
-        return F.sum("n").over(Window.partitionBy("test", *c)).cast("double")
-    # one exchange by test serves every window and the final aggregate
-    t = counts.repartition("test").select("*", over().alias("total"), over("x", "z").alias("nxz"), over("y", "z").alias("nyz"), over("z").alias("nz"))
-    term = F.col("n") * F.ln(F.col("n") * F.col("nz") / (F.col("nxz") * F.col("nyz")))
-    return t.groupBy("test").agg(
-        F.max("total").alias("total"), (F.sum(term) / F.max("total")).alias("mi"), (F.lit(2.0) * F.sum(term)).alias("g2"),
-        *[F.size(F.collect_set(c)).alias(f"n{c}") for c in ("x", "y", "z")])
+
+    With m ln m summed over the cells and over their margins, G2 is twice (cells + z - xz - yz).
+    All margins are counted by one grouping; only their partial sums meet by test.
+    """
+    sets = [("test", "x", "y", "z"), ("test", "x", "z"), ("test", "y", "z"), ("test", "z"), ("test", "x"), ("test", "y")]
+    margins = counts.groupingSets([tuple(F.col(c) for c in s) for s in sets], "test", "x", "y", "z").agg(
+        F.sum("n").cast("double").alias("m"), F.grouping_id().alias("g"))
+    level = {s: sum(1 << i for i, c in enumerate("zyx") if c not in s) for s in sets}
+    weight = F.col("m") * F.ln("m")
+
+    def summed(*s):
+        return F.coalesce(F.sum(F.when(F.col("g") == level["test", *s], weight)), F.lit(0.0))
+
+    half = summed("x", "y", "z") + summed("z") - summed("x", "z") - summed("y", "z")
+    sums = margins.groupBy("test").agg(
+        F.sum(F.when(F.col("g") == level["test", "z"], F.col("m"))).alias("total"), F.greatest(half, F.lit(0.0)).alias("half"),
+        *[F.count_if(F.col("g") == level["test", c]).alias(f"n{c}") for c in ("x", "y", "z")])
+    return sums.select("test", "total", (F.col("half") / F.col("total")).alias("mi"), (F.lit(2.0) * F.col("half")).alias("g2"), "nx", "ny", "nz")
 
 
 def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None = None) -> DataFrame:
@@ -79,6 +85,8 @@ def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None
     pairs = list(pairs or combinations([c for c in columns if c != given], 2))
     cells, network = _cells(df, columns)
     tests = [(a, b, (given,) if given else ()) for a, b in pairs]
+    if len(tests) > TEST_BATCH:
+        cells = reused(cells)
     info = None
     for start in range(0, len(tests), TEST_BATCH):
         batch = information(contingency(cells, network, tests[start:start + TEST_BATCH])).withColumn("test", F.col("test") + start)
