@@ -116,7 +116,7 @@ def _iterate(table: DataFrame, network: Network, iterations: int, tolerance: flo
         centres = discover(table, network)[1]
     if is_star(network):
         run = run_batch(table, [Run(model)], centres, iterations=iterations, tolerance=tolerance, weight=weight)[0]
-        ll = _arrow_expectations(table, [run], centres, weight, None)[0]["ll",]
+        ll = training_loglikelihoods(table, [run], weight=weight)[0]
         return replace(run.model, iterations=run.iterations, converged=run.converged, loglikelihood=ll)
     last, converged, t = None, False, 0
     for step in range(1, iterations + 2):          # the last step only scores the returned model
@@ -217,6 +217,11 @@ def held_out_loglikelihoods(table: DataFrame, runs: list[Run], *, weight: str |
     return [s["ll",] for s in _arrow_expectations(table, runs, {}, weight, fold, held_out=True)]
 
 
+def training_loglikelihoods(table: DataFrame, runs: list[Run], *, weight: str | None = None, fold: str | None = None) -> list[float]:
+    """Summed loglikelihood of each run's present parameters on the rows it learned from; one scan."""
+    return [s["ll",] for s in _arrow_expectations(table, runs, {}, weight, fold)]
+
+
 def _arrow_expectations(table, runs, centres, weight, fold, held_out: bool = False) -> list[dict]:
     """Small tables and wide batches: numpy partial sums per Arrow batch, then one grouped sum."""
     names = sorted({n for r in runs for n in r.model.network.observed() if n in table.columns})

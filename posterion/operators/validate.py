@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posterion.functions.scalars import finite, hash_bits, hash_uniform, quoted
 from posterion.operators.fit import collect_cells, discover, statistics
-from posterion.operators.mixture import Run, column_starts, held_out_loglikelihoods, hub_of, run_batch, starting_model
+from posterion.operators.mixture import (Run, column_starts, held_out_loglikelihoods, hub_of, run_batch, starting_model,
+                                         training_loglikelihoods)
 from posterion.operators.ranking import group_of_rank, hashed_rank
 from posterion.operators.score import ModelStatistics, MostLikelyState, score
 from posterion.plans.model import Model, Moments
@@ -154,12 +155,13 @@ def _less_fold(ll: Column, k: int) -> Column:
 def held_out_mixture(df: DataFrame, network_of, counts, *, k: int = 3, iterations: int = 20, tolerance: float = 1e-6,
                      start: str | None = None, fold: str = FOLD) -> DataFrame:
     """`clusters, mean_ll`: held-out loglikelihood per number of clusters. All folds of
-    all counts learn in the same scans."""
+    all counts learn in the same scans, and every start comes from the training part alone."""
     table = reused(df)
+    counts = list(counts)
     runs, centres = [], {}
     for c in counts:
-        _, first, centres = starting_model(table, network_of(c), start=start)
-        runs += [Run(first, fold=f) for f in range(k)]
+        network, centres = discover(table, network_of(c))       # names of states and the origin of the sums
+        runs += [Run(starting_model(table.filter(quoted(fold) != f), network, start=start)[1], fold=f) for f in range(k)]
     run_batch(table, runs, centres, iterations=iterations, tolerance=tolerance, fold=fold)
     held = held_out_loglikelihoods(table, runs, fold=fold)
     n = table.count()
@@ -173,23 +175,27 @@ def discretisation_analysis(df: DataFrame, columns, *, id_col: str, clusters=(1,
     weighted by training size); more than `threshold` clusters suggest discretising.
 
     Equal values are folded into one weighted row per fold first; all counts and folds of a
-    column then share each scan.
+    column then share each scan. Starts come from the training part alone, and the compared
+    loglikelihood is that of the parameters learned last.
     """
     folded = hash_folds(df, id_col, k, seed)
     rows = []
     for c in columns:
         table = reused(folded.filter(quoted(c).isNotNull()).groupBy(quoted(c), quoted(FOLD)).agg(
             F.count(F.lit(1)).cast("double").alias("__weight")))
-        sizes = {r[0]: r[1] for r in table.groupBy(FOLD).agg(F.sum("__weight")).collect()}
-        total = sum(sizes.values())
-        starts, centres = column_starts(table, c, lambda n: mixture(continuous=[c], latent_states=n), clusters, weight="__weight")
-        runs = [Run(first, fold=f) for first in starts for f in range(k)]
+        total = table.agg(F.sum("__weight")).head()[0] or 0.0
+        if not total:                                   # a column without a value has nothing to discretise
+            continue
+        runs, centres = [], {}
+        for f in range(k):
+            starts, centres = column_starts(table.filter(quoted(FOLD) != f), c, lambda n: mixture(continuous=[c], latent_states=n),
+                                            clusters, weight="__weight")
+            runs += [Run(first, fold=f) for first in starts]
         run_batch(table, runs, centres, iterations=iterations, tolerance=tolerance, weight="__weight", fold=FOLD)
         best: dict[int, float] = {}
-        for r in runs:
+        for r, ll in zip(runs, training_loglikelihoods(table, runs, weight="__weight", fold=FOLD)):
             n = len(r.model.network[hub_of(r.model.network)].states)
-            size = total - sizes.get(r.fold, 0.0)
-            best[n] = best.get(n, 0.0) + (r.last / size) * size / (total * (k - 1))
+            best[n] = best.get(n, 0.0) + ll / (total * (k - 1))
         rows += [(c, n, float(v)) for n, v in sorted(best.items())]
     spark = df.sparkSession
     scores = spark.createDataFrame(rows, "column_name string, clusters int, mean_ll double")

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -232,3 +233,36 @@ def test_dense_ids_number_rows_without_a_value(spark):
     df = spark.createDataFrame([(i if i % 3 else None, i) for i in range(30)], "v int, k int")
     got = sorted((r.ix, r.v) for r in dense_ids(df, "v").collect())
     assert [i for i, _ in got] == list(range(1, 31)) and [v for _, v in got[:20]] == [i for i in range(30) if i % 3] and got[20][1] is None
+
+
+def test_information_equals_enumeration(spark):
+    rng = np.random.default_rng(5)
+    rows = [(None if rng.random() < 0.1 else f"x{rng.integers(4)}", f"y{rng.integers(3)}", None if rng.random() < 0.1 else f"z{rng.integers(2)}")
+            for _ in range(700)]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+
+    def entropy(cells):
+        n = sum(cells.values())
+        return -sum(v / n * math.log(v / n) for v in cells.values())
+
+    plain = {(r.a, r.b): r for r in mutual_information(df, ["x", "y", "z"]).collect()}
+    full = [r for r in rows if r[0] and r[2]]
+    pair = [(x, z) for x, _, z in full]
+    want = entropy(Counter(x for x, _ in pair)) + entropy(Counter(z for _, z in pair)) - entropy(Counter(pair))
+    assert plain["x", "z"].mi == pytest.approx(want, abs=1e-12) and plain["x", "z"].df == 3
+    assert plain["x", "z"].g2 == pytest.approx(2 * len(pair) * want, abs=1e-9)
+    given = mutual_information(df, ["x", "y", "z"], given="z").collect()[0]
+    want = (entropy(Counter((x, z) for x, _, z in full)) + entropy(Counter((y, z) for _, y, z in full))
+            - entropy(Counter(full)) - entropy(Counter(z for *_, z in full)))
+    assert given.cmi == pytest.approx(want, abs=1e-12) and given.df == 3 * 2 * 2
+
+
+def test_cluster_counts_start_from_the_training_part(spark):
+    values = {0: [1.0, 2.0, 4.0], 1: [10.0, 11.0, 15.0], 2: [-5.0, -9.0, -4.0]}
+    df = spark.createDataFrame([(f, v) for f, vs in values.items() for v in vs], "__fold int, v double")
+    got = V.held_out_mixture(df, lambda n: mixture(continuous=["v"], latent_states=n), [1], k=3, iterations=0).collect()[0].mean_ll
+    lls = []
+    for f, held in values.items():
+        train = np.array([v for g, vs in values.items() if g != f for v in vs])
+        lls += [-0.5 * math.log(2 * math.pi * train.var()) - (v - train.mean()) ** 2 / (2 * train.var()) for v in held]
+    assert got == pytest.approx(np.mean(lls), rel=1e-9)
