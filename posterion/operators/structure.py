@@ -19,12 +19,15 @@ TEST_BATCH = 200             # tests counted by one job
 
 
 def _cells(df: DataFrame, columns, extra=()) -> tuple[DataFrame, Network]:
-    """Distinct combinations of state positions with their count `n`, and the network that names
-    the states. Every later count works on combinations, however many rows there are."""
+    """Combinations of state positions with their count `n`, and the network that names the
+    states. The table is read once and folded to distinct values; the states and every later
+    count come from the written combinations, however many rows there are."""
     fields = {f.name: f.dataType for f in df.schema.fields}
-    network, _ = discover(df, independent(discrete=columns))
-    base = df.select(*[state_index(quoted(c), network[c].states, fields[c]).alias(c) for c in columns], *[quoted(e) for e in extra])
-    return base.groupBy(*[quoted(c) for c in (*columns, *extra)]).agg(F.count(F.lit(1)).alias("n")), network
+    names = list(dict.fromkeys((*columns, *extra)))
+    folded = reused(df.groupBy(*[quoted(c) for c in names]).agg(F.count(F.lit(1)).alias("__n")))
+    network, _ = discover(folded, independent(discrete=columns))
+    return folded.select(*[state_index(quoted(c), network[c].states, fields[c]).alias(c) for c in columns],
+                         *[quoted(e) for e in extra], F.col("__n").alias("n")), network
 
 
 def _radix(network: Network, columns):
@@ -79,14 +82,13 @@ def information(counts: DataFrame) -> DataFrame:
     return sums.select("test", "total", (F.col("half") / F.col("total")).alias("mi"), (F.lit(2.0) * F.col("half")).alias("g2"), "nx", "ny", "nz")
 
 
-def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None = None) -> DataFrame:
-    """G1: `a, b, mi, g2, df` of every pair, or `a, b, c, cmi, g2, df` given one column."""
+def mutual_information(df: DataFrame, columns, *, pairs=None, given: str | None = None, known=None) -> DataFrame:
+    """G1: `a, b, mi, g2, df` of every pair, or `a, b, c, cmi, g2, df` given one column; `known`
+    are combinations and network that were counted before."""
     columns = list(columns)
     pairs = list(pairs or combinations([c for c in columns if c != given], 2))
-    cells, network = _cells(df, columns)
+    cells, network = known or _cells(df, columns)
     tests = [(a, b, (given,) if given else ()) for a, b in pairs]
-    if len(tests) > TEST_BATCH:
-        cells = reused(cells)
     info = None
     for start in range(0, len(tests), TEST_BATCH):
         batch = information(contingency(cells, network, tests[start:start + TEST_BATCH])).withColumn("test", F.col("test") + start)
@@ -143,7 +145,6 @@ def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05,
     names = list(discrete or continuous)
     if discrete:
         cells, network = _cells(df, names)
-        cells = reused(cells)
     else:
         n, corr = correlation_matrix(df, names)
     adjacent = {frozenset(p) for p in combinations(names, 2)}
@@ -243,8 +244,7 @@ def learn_greedy(df: DataFrame, columns, *, fold: str, k: int, max_parents: int
     """
     columns = list(columns)
     cells, states = _cells(df, columns, extra=(fold,))
-    cells = reused(cells)
-    ranked = sorted(((r["mi"], r["a"], r["b"]) for r in mutual_information(df, columns).collect()), key=lambda t: (-t[0], t[1:]))
+    ranked = sorted(((r["mi"], r["a"], r["b"]) for r in mutual_information(df, columns, known=(cells, states)).collect()), key=lambda t: (-t[0], t[1:]))
     todo = [(a, b) for _, a, b in ranked]
     parents: dict[str, tuple[str, ...]] = {c: () for c in columns}
     base = _family_scores(cells, [(c, ()) for c in columns], states, fold, k, alpha)
