@@ -26,6 +26,9 @@ from posterion.llm.common import fresh, renamed, staged
 
 SEED = 42
 SEGMENT = 32
+BAND, BANDS = 4, 16         # least hashes a key, and keys a text
+MIX = np.random.default_rng(SEED).integers(0, 1 << 64, BAND * BANDS, np.uint64) | np.uint64(1)
+SALTS = 256
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -117,13 +120,120 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return prints.join(named.join(roots, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
-    """The documents without near copies: of each group the one with the smallest id stays (of
-    repeated rows with that id one; rows without id come last)."""
-    fp, row = fresh(docs, "__fp"), fresh(docs, "__row")
-    marked = staged(with_fingerprint(docs, fp, text, width).withColumn(row, F.monotonically_increasing_id()), "marked")
-    prints = marked.select(F.col(fp).alias("fp"), F.col(row).alias("row"), F.col(f"`{id_col}`").alias("id"))
-    order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("row").alias("c"))
-    firsts = prints.groupBy("fp").agg(F.min(order).alias("first"))
-    winners = grouped(prints, distance).join(firsts, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    return marked.join(winners.select(F.col("first.c").alias(row)), row, "left_semi").drop(fp, row)
+# -- near copies by the words themselves ------------------------------------------
+
+def _words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def _hashes(words: list[bytes], width: int) -> np.ndarray:
+    n = max(1, len(words) - width + 1)
+    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i:i + width]), SEED) for i in range(n)), np.uint64, n)
+
+
+def resemblance(a: str | None, b: str | None, width: int = 5) -> float:
+    """Shared part of all distinct shingles of two texts, by the words themselves."""
+    x, y = ({b" ".join(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} for w in (_words(a), _words(b)))
+    return len(x & y) / len(x | y)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One signed key for each band of BAND least values of the mixed shingle hashes."""
+    least = np.full(len(MIX), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 4096):
+        part = hashes[at:at + 4096]
+        np.minimum(least, ((part[None, :] ^ MIX[:, None]) * MIX[::-1, None]).min(axis=1), out=least)
+    return [xxhash.xxh64_intdigest(least[k:k + BAND].tobytes(), k) - (1 << 63) for k in range(0, len(MIX), BAND)]
+
+
+def _signed(docs: DataFrame, name: str, text: str, width: int) -> DataFrame:
+    """The table with struct(digest of the words, n distinct shingles, band keys) in a new column."""
+    kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("struct<digest:binary,n:int,keys:array<bigint>>")
+    def of(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts:
+            words = _words(t.as_py())
+            hashes = np.unique(_hashes(words, width)) if words else np.empty(0, np.uint64)
+            rows.append({"digest": xxhash.xxh3_128_digest(b" ".join(words)), "n": len(hashes), "keys": band_keys(hashes) if words else []})
+        return pa.array(rows, kind)
+
+    return docs.withColumn(name, of(F.col(f"`{text}`")))
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (x, y) whose texts (row, text) resemble each other, checked by their words.
+
+    Only texts that stand in a pair move. A row y of many pairs is dealt over SALTS keys.
+    """
+    @F.arrow_udf("boolean")
+    def close(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([resemblance(s.as_py(), t.as_py(), width) >= similarity for s, t in zip(a, b)], pa.bool_())
+
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)))
+    left = texts.join(dealt, F.col("row") == F.col("x")).select("x", "y", "salt", F.col("text").alias("a"))
+    right = texts.join(dealt.select("y", "salt").distinct(), F.col("row") == F.col("y")).select("y", "salt", F.col("text").alias("b"))
+    return left.join(right, ["y", "salt"]).filter(close("a", "b")).select("x", "y")
+
+
+def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float = 0.8, rounds: int = 4) -> DataFrame | None:
+    """Verified links (x, y) between nodes (first struct(a, b, c: row), n, keys).
+
+    Nodes with a key in common meet in its bucket. In each round a bucket compares its first node
+    with all others; those alike are linked and leave with it. What is left after the rounds is
+    compared all with all, so two nodes of one bucket that both come first in their groups
+    have always been compared, and large groups of near copies cost one comparison a node.
+    """
+    def crowded(m: DataFrame) -> DataFrame:
+        many = m.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").select("key")
+        return staged(m.join(many, "key"), "buckets")
+
+    def sized(a, b):
+        return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b) - 1e-6
+
+    found, members = None, crowded(nodes.select(F.explode("keys").alias("key"), "first", "n"))
+    for i in range(rounds + 1):
+        if members.isEmpty():
+            break
+        if i < rounds:
+            heads = members.groupBy("key").agg(F.min(F.struct("first", "n")).alias("head"))
+            met = members.join(heads, "key").filter(F.col("first.c") != F.col("head.first.c"))
+            size = F.col("head.n")
+        else:
+            other = members.select("key", F.col("first").alias("head"), F.col("n").alias("size"))
+            met = members.join(other, "key").filter(F.col("head") < F.col("first")).withColumn("head", F.struct(F.col("head").alias("first")))
+            size = F.col("size")
+        pairs = met.filter(sized(F.col("n"), size)).select(F.col("first.c").alias("x"), F.col("head.first.c").alias("y")).distinct()
+        links_now = staged(_alike(staged(pairs, "pairs"), texts, width, similarity), "alike")
+        found = links_now if found is None else found.unionByName(links_now)
+        if i == rounds:
+            break
+        left = met.join(links_now, (F.col("first.c") == F.col("x")) & (F.col("head.first.c") == F.col("y")), "left_anti")
+        members = crowded(left.select("key", "first", "n"))
+    return found
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents without near copies: texts that share `similarity` of their `width`-word
+    shingles or more are linked, and of each linked group the one with the smallest id stays (of
+    repeated rows with that id one; rows without id come last).
+
+    A fingerprint of 64 bits differs in about 10 bits at a resemblance of 0.8, beyond any radius
+    that balls around segments can search without comparing most texts with most others. So texts
+    meet by bands of least shingle hashes (a pair at 0.8 is missed with probability 0.0002, a closer
+    one with less), distinct texts only, and the pairs are checked exactly.
+    """
+    sign, row = fresh(docs, "__sign"), fresh(docs, "__row")
+    marked = staged(_signed(docs, sign, text, width).withColumn(row, F.monotonically_increasing_id()), "marked")
+    order = F.struct(F.col(f"`{id_col}`").isNull().alias("a"), F.col(f"`{id_col}`").alias("b"), F.col(row).alias("c"))
+    rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), F.col(sign)["n"].alias("n"), F.col(sign)["keys"].alias("keys")).alias("s"))
+    nodes = staged(rows.groupBy("digest").agg(F.min("s").alias("s")).select("s.*"), "nodes")
+    texts = marked.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
+    found = alike(nodes, texts, width, similarity)
+    winners = nodes.select("first")
+    if found is not None:
+        comp = components(found.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+        winners = nodes.join(comp, F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
+    winners = staged(winners.select(F.col("first.c").alias(row)), "winners")
+    return marked.join(winners, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
