@@ -1,9 +1,11 @@
 """Quality classifier by importance resampling.
 
 Two multinomials over hashed words and word pairs are counted: one on trusted text (labelled
-good and not toxic), one on all text. A document's log weight is the sum of the log ratios of
-its features; adding Gumbel noise and keeping the k largest keys draws k documents without
-replacement in proportion to their weights.
+good and not toxic), one on all text. A document's log weight is s * C / (n + C), where s is the
+sum of the log ratios of its n features and C is TEMPER: near the sum itself for short texts, C
+times the mean ratio for long ones, so that noise and cut act alike on all lengths. Adding Gumbel
+noise and keeping the k largest keys draws k documents without replacement in proportion to
+their weights.
 
 The raw counts cover every document. The trusted side is a bounded sample of labelled documents
 (`max_trusted`, the smallest hashes of their ids). k is the share of good labels times the
@@ -27,6 +29,7 @@ from posterion.llm.common import fresh, kept, kth_largest, staged
 BUCKETS = 1 << 16
 MAX_TRUSTED = 20_000
 SEED = 17
+TEMPER = 200        # features; a fixed value
 
 
 def features(text: str | None) -> np.ndarray:
@@ -91,7 +94,8 @@ def keyed(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
         table = ratio.value
-        return pa.array((float(table[features(t.as_py())].sum()) for t in texts), pa.float64())
+        found = (table[features(t.as_py())] for t in texts)
+        return pa.array((float(r.sum()) * TEMPER / (len(r) + TEMPER) for r in found), pa.float64())
 
     u = (F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
     return docs.withColumn(weight, of(F.col(f"`{text}`"))).withColumn(key, F.col(weight) - F.log(-F.log(u)))
