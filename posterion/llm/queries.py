@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posterion.llm import html, importance, language, mixing, packing, pii, rules, simhash, topk, wavelet
+from posterion.llm import (html, importance, language, licenses, mixing, packing, pii, reversed_search, rules, simhash, topk, wavelet,
+                           whitening)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -101,6 +102,39 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("main.blocks").alias("n_blocks"), F.col("main.certainty").alias("certainty"))
 
 
+@query("op11_diagonal_license_scan")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.labelled(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    first = F.transform("places", lambda p: p["first"].cast("long"))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(first).alias("first_word"),
+                        F.array_max(first).alias("last_word"), "base_labels", "labels", "score")
+
+
+@query("op12_polarisation_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+RANKED_SQL = f"""
+with d as (select row_number() over () as r, doc_id, {TERMS} as w from documents),
+i as (select row_number() over () as item, item_id, unnest(list_distinct({TERMS})) as term from benchmark),
+c as (select count(*) as docs, sum(len(w))::bigint as terms from d where len(w) > 0),
+t as (select r, term, count(*) as tf from (select r, unnest(w) as term from d) group by r, term),
+f as (select term, count(*) as df from t group by term),
+m as (select r, doc_id, 100 - 90 + ((90 * len(w)::bigint * docs) // terms) as m from d, c where len(w) > 0),
+s as (select item, item_id, t.r, sum(floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from i join t using (term) join f using (term) join m on m.r = t.r, c group by item, item_id, t.r),
+k as (select item_id, row_number() over (partition by item order by score desc, doc_id)::int as rank, doc_id, score from s join d using (r) where score > 0)
+select item_id, rank, doc_id, score from k where rank <= 10"""
+
+
+@query("op13_reversed_search", RANKED_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
