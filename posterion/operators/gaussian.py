@@ -15,6 +15,10 @@ from posterion.plans.network import Network
 MAX_PATTERN_COLUMNS = 4      # columns of one group whose null patterns are written out
 
 
+class NoExpression(ValueError):
+    """The question has no column expression of reasonable size; `inference` answers it."""
+
+
 def components(network: Network) -> list[tuple[str, ...]]:
     """Continuous variables grouped by links between them and by shared nodes."""
     group = {n: {n} for n in network.names("continuous")}
@@ -108,7 +112,7 @@ def conditional_moments(target: str, x: dict[str, Column], joint) -> tuple[Colum
     m, v = F.lit(float(mean[t])), F.lit(float(cov[t, t]))
     others = [i for i in range(len(order)) if i != t and abs(cov[t, i]) > 0]
     if len(others) > MAX_PATTERN_COLUMNS:
-        raise ValueError(f"mean/variance of {target}: more than {MAX_PATTERN_COLUMNS} dependent columns in its group")
+        raise NoExpression(f"mean/variance of {target}: more than {MAX_PATTERN_COLUMNS} dependent columns in its group")
     for size in range(1, len(others) + 1):
         for keep in combinations(others, size):
             ix = list(keep)

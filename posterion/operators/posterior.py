@@ -13,10 +13,9 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from posterion.functions.scalars import as_double, cast_state, lookup, normal_log_density, quoted, state_index
+from posterion.functions.scalars import as_double, lookup, normal_log_density, quoted, state_index
 from posterion.operators.gaussian import components, discrete_parents_of, indexed_moments, log_density
 from posterion.plans.model import Model, log_probability
-from posterion.sources.storage import sized
 
 GRID_LIMIT = 1024            # open combinations per scenario before variables are summed out
 
@@ -326,32 +325,10 @@ def marginal_components(model: Model, name: str):
 
 def score_general(df: DataFrame, model: Model, target: str, *, id_col: str, evidence=None,
                   dtype: str = "string", suffix: str = "_maxlikelihood") -> DataFrame:
-    """Q12: any discrete-target query with any pattern of missing values.
-
-    Rows are reduced to their distinct evidence combinations first; inference runs once per
-    combination (the action runs here) and the answers are joined back, by broadcast when they
-    are few, so the table itself is not shuffled for it. Continuous evidence makes combinations as
-    many as rows, which stays correct, only with less saving.
-    """
-    net = model.network
-    used = [c for c in (evidence or net.observed()) if c in df.columns and c != target]
-    marks = [F.coalesce(quoted(c).cast("string"), F.lit("\u0000")) for c in used]
-    keyed = df.withColumn("__combo", F.concat_ws("\u0001", *marks) if marks else F.lit(""))
-    combos = keyed.groupBy("__combo").agg(*[F.first(quoted(c)).alias(c) for c in used])
-    p = posterior(combos, model, [target], key="__combo", evidence=used)
-    states = net[target].states
-    wide = p.groupBy("__combo").agg(
-        F.max("ln_evidence").alias("ln_evidence"),
-        *[F.sum(F.when(quoted(target) == s, F.col("probability")).otherwise(0.0)).alias(f"__p{i}")
-          for i, s in enumerate(states)])
-    top = F.greatest(*[F.col(f"__p{i}") for i in range(len(states))]) if len(states) > 1 else F.col("__p0")
-    best = None
-    for i, s in enumerate(states):
-        best = F.when(F.col(f"__p{i}") == top, F.lit(s)) if best is None else best.when(F.col(f"__p{i}") == top, F.lit(s))
-    answers = wide.select("__combo", cast_state(best, dtype).alias(f"{target}{suffix}") if dtype != "string"
-                          else best.alias(f"{target}{suffix}"),
-                          *[F.col(f"__p{i}").alias(f"{target}$${s}_probability") for i, s in enumerate(states)],
-                          F.col("ln_evidence").alias("loglikelihood"))
-    names = [c for c in answers.columns if c != "__combo"]
-    return keyed.join(sized(answers), "__combo", "left").select(
-        quoted(id_col), *[quoted(c) for c in names])
+    """Q12: most likely state, all state probabilities and the loglikelihood of the other evidence,
+    for a discrete target under any pattern of missing values. Rows stay in place."""
+    from posterion.operators.inference import score_rows
+    from posterion.operators.score import ModelStatistics, MostLikelyState, StateProbability
+    used = [c for c in (evidence or model.network.observed()) if c in df.columns and c != target]
+    return score_rows(df, model, [MostLikelyState(target, dtype, suffix), StateProbability(target), ModelStatistics()],
+                      id_col=id_col, evidence=used, append=False)

@@ -1,8 +1,10 @@
-"""Case scoring: a model and a list of queries become column expressions on the table.
+"""Case scoring: a model and a list of queries become columns of the table.
 
-One discrete variable (the latent cluster, the class, or the queried variable) is summed
-over; everything else is looked up. Rows stay in place: no join, no shuffle, no Python,
-so the same call works on a streaming table.
+Where one discrete variable (the latent cluster, the class, or the queried variable) is summed
+over and everything else is looked up, the answers are column expressions: no join, no shuffle,
+no Python. Any other network, where a missing value may stand above a present one, is answered by
+junction trees in numpy (`inference`). Rows stay in place either way, so the same call works on a
+streaming table.
 """
 
 from __future__ import annotations
@@ -17,8 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posterion.functions.scalars import (as_double, cast_state, finite, log_sum_exp, lookup, normal_log_density,
                                          quoted, state_index)
-from posterion.operators.gaussian import (components, conditional_moments, discrete_parents_of, indexed_moments,
+from posterion.operators.gaussian import (NoExpression, components, conditional_moments, discrete_parents_of, indexed_moments,
                                           log_density)
+from posterion.operators.inference import score_rows
 from posterion.plans.model import Model, log_probability
 
 MAX_TERMS = 500              # states x columns written as separate expressions
@@ -85,8 +88,8 @@ def choose_hub(model: Model, target: str | None = None) -> str | None:
 
 
 def _is_common_parent(net, name: str) -> bool:
-    """Fold or model ids: a root above everything, and never a quantity to sum over."""
-    return name.startswith("__") and not net.parents(name)
+    """Fold or model ids are never a quantity to sum over."""
+    return net[name].selector
 
 
 class _Plan:
@@ -146,7 +149,7 @@ class _Plan:
 
     def _by_combination(self, others, values: list[Column]) -> Column:
         if len(values) > 64:
-            raise ValueError(f"too many combinations of {others} above a linked Gaussian group")
+            raise NoExpression(f"too many combinations of {others} above a linked Gaussian group")
         idx, expr = self._radix(others), None
         for i, v in enumerate(values):
             expr = F.when(idx == i, v) if expr is None else expr.when(idx == i, v)
@@ -159,23 +162,6 @@ class _Plan:
         table = self.model.dense(self.hub)
         return lookup([log_probability(p) for p in table[:, k]], self._radix(parents))
 
-    def usable(self) -> Column:
-        """Rows this plan answers exactly: no missing value stands above a present one."""
-        ok = F.lit(True)
-        for g in self.net.nodes():
-            if g[0] == self.hub:
-                for p in self.net.discrete_parents(self.hub):
-                    ok = ok & self.index[p].isNotNull()
-                continue
-            others = [p for p in self.net.discrete_parents(g[0]) if p != self.hub]
-            if not others:
-                continue
-            cols = self.index if self.net[g[0]].kind == "discrete" else self.x
-            present = reduce(lambda a, b: a | b, [cols[m].isNotNull() for m in g])
-            for p in others:
-                ok = ok & (~present | self.index[p].isNotNull())
-        return ok
-
     # -- scores ---------------------------------------------------------------
 
     def scores(self, hidden=frozenset(), evidence_on_hub: bool = True) -> list[Column]:
@@ -280,7 +266,7 @@ class _Plan:
             values = self.responsibilities(evidence_on_hub=False)
         else:
             if self.net.children(v):
-                raise ValueError(f"{v} has children and is not the summed variable")
+                raise NoExpression(f"{v} has children and is not the summed variable")
             r = self.responsibilities(frozenset([v]))
             values = []
             for s in range(len(self.net[v].states)):
@@ -307,7 +293,7 @@ class _Plan:
                 second = second + F.when(alive, r[k] * (s2 + m * m)).otherwise(F.lit(0.0))
             mean = F.when(r[0].isNotNull(), mean)
             mean_col, second_col = self._stage(f"m{len(self.score_columns)}", [mean, second])
-            var = F.greatest(second_col - mean_col * mean_col, F.lit(0.0))
+            var = F.when(mean_col.isNotNull(), F.greatest(second_col - mean_col * mean_col, F.lit(0.0)))
             if not retract:
                 seen = self.x[v].isNotNull()
                 mean_col, var = F.when(seen, self.x[v]).otherwise(mean_col), F.when(seen, F.lit(0.0)).otherwise(var)
@@ -356,18 +342,25 @@ def encode(df: DataFrame, model: Model, evidence=None) -> tuple[dict[str, Column
     return index, x, staged
 
 
-def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = None, evidence=None,
-          append: bool = True, check: bool = True) -> DataFrame:
-    """Add the answers of all queries as columns, in one pass (Q1-Q11).
+def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = None, evidence=None, append: bool = True) -> DataFrame:
+    """Add the answers of all queries as columns, in one pass (Q1-Q12), for any network and any gaps.
 
     `evidence` limits the columns used; `append=False` keeps only `id_col` and the answers.
-    Networks whose rows may miss a value above a present one are refused unless
-    `check=False` (such rows then get null answers); `posterior.score_general` answers them.
     """
     queries = list(queries) if queries else [ModelStatistics()]
     net = model.network
     if not any(n in df.columns for n in net.observed() if evidence is None or n in evidence):
         raise ValueError("no column of the table is a variable of the network")
+    for q in queries:
+        check_query(q, net)
+    try:
+        return _score_expressions(df, model, queries, id_col, evidence, append)
+    except NoExpression:
+        return score_rows(df, model, queries, id_col=id_col, evidence=evidence, append=append)
+
+
+def _score_expressions(df: DataFrame, model: Model, queries, id_col, evidence, append: bool) -> DataFrame:
+    net = model.network
     index, x, inputs = encode(df, model, evidence)
     plans: dict[str | None, _Plan] = {}
 
@@ -375,9 +368,8 @@ def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = Non
         hub = choose_hub(model, target)
         if hub not in plans:
             plans[hub] = _Plan(model, hub, index, x, f"h{len(plans)}")
-            if check and not _always_usable(plans[hub]):
-                raise ValueError("values above present ones may be missing: use score_general, or check=False "
-                                 "for complete tables")
+            if not _always_usable(plans[hub]):
+                raise NoExpression("values above present ones may be missing")
         return plans[hub]
 
     out: list[tuple[str, Column]] = []
@@ -391,16 +383,10 @@ def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = Non
     for plan in plans.values():
         for stage in plan.staged:
             result = result.select("*", *stage)
-    guards = {}
-    if not check:
-        for hub, plan in plans.items():
-            guards[hub] = plan.usable()
     keep = df.columns if append else ([id_col] if id_col else [])
-    ok = reduce(lambda a, b: a & b, guards.values()) if guards else None
-    answers = [(c if ok is None else F.when(ok, c)).alias(n) for n, c in out]
     # one struct unpacked by a generator: a later filter on an answer stays above it, where a
     # plain projection would copy the whole score expression into the filter
-    return result.select(*[quoted(c) for c in keep if c not in names], F.inline(F.array(F.struct(*answers))))
+    return result.select(*[quoted(c) for c in keep if c not in names], F.inline(F.array(F.struct(*[c.alias(n) for n, c in out]))))
 
 
 def _always_usable(plan: _Plan) -> bool:
@@ -412,6 +398,26 @@ def _always_usable(plan: _Plan) -> bool:
     return True
 
 
+def check_query(q, net) -> None:
+    """Refuses questions that the network cannot be asked."""
+    if isinstance(q, (MostLikelyState, StateProbability)) and net[q.variable].kind != "discrete":
+        raise ValueError(f"{q.variable} is not discrete")
+    if isinstance(q, StateProbability) and q.state is not None and q.state not in net[q.variable].states:
+        raise ValueError(f"{q.variable} has no state {q.state}")
+    if isinstance(q, MeanVariance) and net[q.variable].kind != "continuous":
+        raise ValueError(f"{q.variable} is not continuous")
+    if isinstance(q, LogLikelihood):
+        if not q.variables or len(set(q.variables)) != len(q.variables):
+            raise ValueError("name each variable once")
+        if any(net[v].kind != "continuous" for v in q.variables):
+            raise ValueError("loglikelihood is asked of continuous variables")
+    if isinstance(q, KLDivergence):
+        if net[q.a].kind != net[q.b].kind:
+            raise ValueError("both variables must be of one kind")
+        if net[q.a].kind == "discrete" and net[q.a].states != net[q.b].states:
+            raise ValueError("both variables need the same states")
+
+
 def _answers(q, plan_for, net) -> list[tuple[str, Column]]:
     if isinstance(q, ModelStatistics):
         plan = plan_for()
@@ -434,8 +440,6 @@ def _answers(q, plan_for, net) -> list[tuple[str, Column]]:
         states = net[q.variable].states
         if q.state is None:
             return [(f"{q.variable}$${s}{q.suffix}", c) for s, c in zip(states, p)]
-        if q.state not in states:
-            raise ValueError(f"{q.variable} has no state {q.state}")
         return [(f"{q.variable}{q.suffix}", p[states.index(q.state)])]
     if isinstance(q, MeanVariance):
         mean, var = plan_for(q.variable).mean_variance(q.variable, q.retract_evidence)
@@ -443,20 +447,11 @@ def _answers(q, plan_for, net) -> list[tuple[str, Column]]:
             mean, var = F.coalesce(mean, F.lit(q.default)), F.coalesce(var, F.lit(q.default))
         return [(f"{q.variable}_mean", mean.cast(q.dtype)), (f"{q.variable}_variance", var.cast(q.dtype))]
     if isinstance(q, LogLikelihood):
-        if not q.variables or len(set(q.variables)) != len(q.variables):
-            raise ValueError("name each variable once")
-        if any(net[v].kind != "continuous" for v in q.variables):
-            raise ValueError("loglikelihood is asked of continuous variables")
         plan = plan_for()
         name = f"{':'.join(q.variables)}_{q.column_name}" if q.append_variable_names else q.column_name
         return [(name, plan.evidence_score() - plan.evidence_score(frozenset(q.variables)))]
     if isinstance(q, KLDivergence):
-        kinds = {net[q.a].kind, net[q.b].kind}
-        if len(kinds) != 1:
-            raise ValueError("both variables must be of one kind")
-        if kinds == {"discrete"}:
-            if net[q.a].states != net[q.b].states:
-                raise ValueError("both variables need the same states")
+        if net[q.a].kind == "discrete":
             pa = plan_for(q.a).state_probabilities(q.a)
             pb = plan_for(q.b).state_probabilities(q.b)
             terms = [F.when(a > 0, F.when(b > 0, a * F.ln(a / b))).otherwise(F.when(a.isNotNull(), F.lit(0.0)))

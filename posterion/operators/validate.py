@@ -141,7 +141,7 @@ def held_out_loglikelihood(df: DataFrame, templates: dict[str, Network], *, id_c
     for label, network in templates.items():
         rows = df.filter(quoted(target).isNotNull()) if target else df
         model = fit_folds(rows, network, k, weight=weight, fold=fold)
-        scored = score(df, model, [ModelStatistics()], id_col=id_col, append=False, check=False)
+        scored = score(df, model, [ModelStatistics()], id_col=id_col, append=False)
         part = scored.select(quoted(id_col), F.lit(label).alias("label"), _less_fold(F.col("loglikelihood"), k).alias("loglikelihood"))
         result = part if result is None else result.unionByName(part)
     return result

@@ -154,7 +154,7 @@ class Model:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Parquet parameter tables and a JSON line for the network, in one directory."""
-        spec = {"variables": [[v.name, v.kind, list(v.states), v.latent] for v in self.network.variables],
+        spec = {"variables": [[v.name, v.kind, list(v.states), v.latent, v.selector] for v in self.network.variables],
                 "edges": [list(e) for e in self.network.edges], "blocks": [list(b) for b in self.network.blocks],
                 "iterations": self.iterations, "converged": self.converged, "loglikelihood": self.loglikelihood}
         self.cpt_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/cpt")
@@ -164,7 +164,7 @@ class Model:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Model":
         spec = json.loads(spark.read.text(f"{path}/network").head()[0])
-        network = Network(tuple(Variable(n, k, tuple(s), lat) for n, k, s, lat in spec["variables"]),
+        network = Network(tuple(Variable(n, k, tuple(s), *rest) for n, k, s, *rest in spec["variables"]),
                           tuple(map(tuple, spec["edges"])), tuple(map(tuple, spec["blocks"])))
         tables: dict = {n: {} for n in network.names("discrete")}
         for r in spark.read.parquet(f"{path}/cpt").collect():

@@ -12,6 +12,7 @@ class Variable:
     kind: str = "discrete"              # "discrete" or "continuous"
     states: tuple[str, ...] = ()
     latent: bool = False
+    selector: bool = False              # a fold or model id above everything: picks parameters, is no quantity
 
 
 @dataclass(frozen=True)
@@ -122,7 +123,7 @@ class Network:
 
         Fold, model and subset ids are handled this way: one fit holds all models.
         """
-        return Network((variable,) + self.variables,
+        return Network((replace(variable, selector=True),) + self.variables,
                        tuple((variable.name, n) for n in self.names()) + self.edges, self.blocks)
 
     def without(self, names) -> "Network":

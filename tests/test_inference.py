@@ -260,7 +260,7 @@ def test_zero_probability_evidence_gives_null(spark):
     model = chain()
     model.tables["B"][("0",)] = {"0": 1.0, "1": 0.0}
     df = spark.createDataFrame([(0, "0", "1", "1"), (1, "1", "1", "0")], "id int, A string, B string, C string")
-    got = {r["id"]: r["loglikelihood"] for r in score(df, model, check=False).collect()}
+    got = {r["id"]: r["loglikelihood"] for r in score(df, model).collect()}
     assert got[0] is None and got[1] == pytest.approx(math.log(.7 * .75 * .2), abs=1e-9)
 
 
