@@ -1,7 +1,8 @@
 """EM for a latent or partly observed class with independent leaves, and for missing values.
 
 Each iteration is one scan with map-side partial sums; parameters return as literals, so
-plans never grow. Several runs (folds, state counts, columns) share one scan.
+plans never grow. Several runs (folds, state counts, columns) share one scan. Networks beyond a
+star, and gaps above other columns, learn from expected statistics (`expectation`).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posterion.functions.scalars import as_double, interval_index, lookup, quoted, state_index
 from posterion.operators.bins import equal_frequency_edges
+from posterion.operators.expectation import maximise
 from posterion.operators.fit import collect_cells, discover, statistics
 from posterion.operators.ranking import quantiles
 from posterion.operators.score import _Plan, encode
@@ -118,27 +120,7 @@ def _iterate(table: DataFrame, network: Network, iterations: int, tolerance: flo
         run = run_batch(table, [Run(model)], centres, iterations=iterations, tolerance=tolerance, weight=weight)[0]
         ll = training_loglikelihoods(table, [run], weight=weight)[0]
         return replace(run.model, iterations=run.iterations, converged=run.converged, loglikelihood=ll)
-    last, converged, t = None, False, 0
-    for step in range(1, iterations + 2):          # the last step only scores the returned model
-        plan, encoded = _plan(table, model)
-        r = plan.responsibilities()
-        ll_col = plan.evidence_score()
-        scored = encoded
-        for stage in plan.staged:
-            scored = scored.select("*", *stage)
-        ll = scored.agg(F.sum(ll_col * (quoted(weight) if weight else F.lit(1.0)))).head()[0]
-        if last is not None and abs(ll - last) <= tolerance * abs(last):
-            converged = True
-        last, t = ll, min(step, iterations)
-        if converged or step > iterations:
-            break
-        model = _maximise(scored, network, centres, r, weight)
-    return replace(model, iterations=t, converged=converged, loglikelihood=last)
-
-
-def _plan(table: DataFrame, model: Model):
-    index, x, inputs = encode(table, model)
-    return _Plan(model, hub_of(model.network), index, x, "em"), table.select("*", *inputs)
+    return maximise(table, model, centres, iterations=iterations, tolerance=tolerance, weight=weight)
 
 
 def run_batch(table: DataFrame, runs: list[Run], centres: dict[str, float], *, iterations: int,
@@ -333,54 +315,25 @@ def _from_sums(old: Model, sums: dict, centres) -> tuple[Model, float]:
 
 
 def fit_incomplete(df: DataFrame, network: Network, *, iterations: int = 100, tolerance: float = 1e-6,
-                   weight: str | None = None) -> Model:
-    """P6 for any discrete network with missing values anywhere: EM over distinct rows.
+                   weight: str | None = None, initial: Model | None = None) -> Model:
+    """P6 for any network, discrete or mixed, with missing values anywhere: EM by expected statistics.
 
-    The first estimate comes from the families that are complete in each row. Combinations
-    are folded first, so the table that each iteration expands holds one weighted row per
-    distinct pattern, not one per case.
+    The first estimate comes from the families that are complete in each row, unless `initial` is
+    given. Discrete tables are folded to one weighted row per distinct pattern first.
     """
-    if network.observed("continuous"):
-        raise ValueError("missing parents of Gaussian columns: impute or use a latent class")
-    network, centres = discover(df, network)
-    names = network.names()
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    if initial is None:
+        network, centres = discover(df, network)
+    else:
+        network, centres = initial.network, discover(df, initial.network)[1]
+    names = network.observed()
     w = quoted(weight).cast("double") if weight else F.lit(1.0)
-    cells = reused(df.groupBy(*[state_index(quoted(n), network[n].states, fields[n]).alias(n) for n in names])
-                   .agg(F.sum(w).alias("__weight"))
-                   # a key of the values themselves, with a mark for each gap: hashes pass over nulls
-                   .withColumn("__cell", F.concat_ws(",", *[F.coalesce(quoted(n).cast("string"), F.lit("?")) for n in names])))
-    named = cells.select("__cell", "__weight", *[
-        F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
-    model = Model.from_statistics(network, collect_cells(statistics(named, network, centres, weight="__weight")), centres)
-    # every completion of every cell; it does not depend on the parameters and is built once
-    full = cells
-    for n in names:
-        every = F.sequence(F.lit(0), F.lit(len(network[n].states) - 1))
-        full = full.withColumn(n, F.explode(F.when(quoted(n).isNull(), every).otherwise(F.array(quoted(n)))))
-    full = reused(full)
-    cell = Window.partitionBy("__cell")
-    last, converged, t = None, False, 0
-    for t in range(1, iterations + 1):
-        lw = F.lit(0.0)
-        for n in names:
-            position = F.lit(0)
-            for p in [*network.parents(n), n]:
-                position = position * F.lit(len(network[p].states)) + quoted(p)
-            lw = lw + lookup([log_probability(p) for row in model.dense(n) for p in row], position)
-        rows = full.withColumn("__lw", lw).filter(F.col("__lw") > F.lit(-math.inf))
-        rows = rows.withColumn("__top", F.max("__lw").over(cell))
-        rows = rows.withColumn("__z", F.sum(F.exp(F.col("__lw") - F.col("__top"))).over(cell))
-        rows = rows.withColumn("__w", F.col("__weight") * F.exp(F.col("__lw") - F.col("__top")) / F.col("__z"))
-        completed = rows.select("__w", *[F.get(F.array(*[F.lit(s) for s in network[n].states]), quoted(n)).alias(n) for n in names])
-        found = collect_cells(statistics(completed, network, centres, weight="__w"))
-        ll = rows.agg(F.sum(F.col("__w") * (F.col("__top") + F.ln("__z")))).head()[0]
-        model = Model.from_statistics(network, found, centres)
-        if last is not None and abs(ll - last) <= tolerance * abs(last):
-            converged, last = True, ll
-            break
-        last = ll
-    return replace(model, iterations=t, converged=converged, loglikelihood=last)
+    table = df.select(*[quoted(n) for n in names], w.alias("__weight"))
+    if not network.observed("continuous"):
+        table = table.groupBy(*[quoted(n) for n in names]).agg(F.sum("__weight").alias("__weight"))
+    table = reused(table)
+    if initial is None:
+        initial = Model.from_statistics(network, collect_cells(statistics(table, network, centres, weight="__weight")), centres)
+    return maximise(table, initial, centres, iterations=iterations, tolerance=tolerance, weight="__weight")
 
 
 def column_starts(table: DataFrame, column: str, network_of, counts, *, weight: str) -> tuple[list[Model], dict[str, float]]:

@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import math
 from itertools import product
+from math import prod
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from posterion.functions.scalars import as_double, lookup, normal_log_density, quoted, state_index
 from posterion.operators.gaussian import components, discrete_parents_of, indexed_moments, log_density
+from posterion.operators.inference import inputs, score_rows, to_arrays
+from posterion.operators.junction import Engine
 from posterion.plans.model import Model, log_probability
 
 GRID_LIMIT = 1024            # open combinations per scenario before variables are summed out
@@ -214,59 +219,50 @@ def soft_except(model: Model, variable: str, states) -> dict[str, float]:
 
 def gaussian_posterior(scenarios: DataFrame, model: Model, heads, *, key, tail=(), soft=(), evidence=None) -> DataFrame:
     """M3/M4: per scenario and tail combination the mean vector and covariance matrix of
-    continuous heads, moment-matched over everything hidden. Combinations of parent states that
-    no Gaussian was fitted for are left out, as in score()."""
+    continuous heads, moment-matched over everything hidden and conditioned on all evidence, also on
+    values of the heads' own linked group. The heads' own values are retracted. Combinations of
+    parent states that no Gaussian was fitted for, and impossible tails, are left out."""
     net = model.network
-    heads, tail = list(heads), list(tail)
+    heads, tail, soft = list(heads), list(tail), [s for s in soft if s in net.names()]
     if any(net[t].kind != "discrete" for t in tail):
         raise ValueError("a continuous tail is not supported")
     if any(net[h].kind != "continuous" for h in heads):
         raise ValueError("heads must be continuous")
     key = [key] if isinstance(key, str) else list(key)
     used = list(evidence) if evidence is not None else scenarios.columns
-    groups = [g for g in components(net) if set(g) & set(heads)]
-    for g in groups:
-        if any(n in used and n not in heads for n in g):
-            raise ValueError("evidence inside the heads' own linked group: use score() with MeanVariance")
-    parents = sorted({p for g in groups for p in discrete_parents_of(net, g)})
-    slot = {n: f"__s{i}" for i, n in enumerate(net.names())}
-    rows = _weights(scenarios, model, sorted(set(parents) | set(tail)), key=key, soft=soft, evidence=used,
-                    head=tail + heads)
-    d = len(heads)
-    mean_cells: list[list[float]] = [[] for _ in range(d)]
-    cov_cells: list[list[float]] = [[] for _ in range(d * d)]
-    for combo in model.combos(parents):
-        at = dict(zip(parents, combo))
-        mu, sigma = {}, {}
-        for g in groups:
-            j = model.joint_gaussian(g, at)
-            for a, n in enumerate(j[0] if j else ()):
-                mu[n] = float(j[1][a])
-                for b, m in enumerate(j[0]):
-                    sigma[n, m] = float(j[2][a, b])
-        for i, h in enumerate(heads):
-            mean_cells[i].append(mu.get(h, math.nan))
-            for k, h2 in enumerate(heads):
-                cov_cells[i * d + k].append(sigma.get((h, h2), 0.0))
-    idx = _radix(model, parents, {n: F.col(s) for n, s in slot.items()})
-    keys = [quoted(k) for k in key]
-    part = Window.partitionBy(*keys, *[slot[t] for t in tail])
-    w = rows.select("*", *[lookup(c, idx).alias(f"__m{i}") for i, c in enumerate(mean_cells)],
-                    *[lookup(c, idx).alias(f"__v{i}") for i, c in enumerate(cov_cells)])
-    for i in range(d):
-        w = w.filter(~F.isnan(f"__m{i}"))
-    w = w.withColumn("__p", F.exp(F.col("__lw") - F.max("__lw").over(part)))
-    sums = [F.sum("__p").alias("__n")] + [F.sum(F.col("__p") * F.col(f"__m{i}")).alias(f"__sm{i}") for i in range(d)]
-    sums += [F.sum(F.col("__p") * (F.col(f"__v{i * d + k}") + F.col(f"__m{i}") * F.col(f"__m{k}"))).alias(f"__sv{i * d + k}")
-             for i in range(d) for k in range(d)]
-    g = w.groupBy(*keys, *[slot[t] for t in tail]).agg(*sums)
-    m = [F.col(f"__sm{i}") / F.col("__n") for i in range(d)]
-    cov = [F.col(f"__sv{i * d + k}") / F.col("__n") - m[i] * m[k] for i in range(d) for k in range(d)]
-    tail_text = F.concat_ws(", ", *[F.concat(F.lit(f"{t}="), _state_name(model, t, F.col(slot[t]))) for t in tail])
+    bound = inputs(scenarios, model, [c for c in used if c not in key and c not in heads and c not in tail and c not in soft])
+    names, d = list(bound), len(heads)
+    mapped = [F.when(quoted(v).isNotNull(), F.array(*[F.coalesce(F.try_element_at(quoted(v), F.lit(s)), F.lit(0.0)).cast("double")
+                                                      for s in net[v].states])) for v in soft]
+    held: list = []
+
+    @F.pandas_udf("mean array<double>, cov array<double>")
+    def moments(*cols: pd.Series) -> pd.DataFrame:
+        if not held:
+            held.append(Engine(model))
+        rows = len(cols[0])
+        data = to_arrays(model, names, cols)
+        weights = {v: np.stack([np.ones(len(net[v].states)) if w is None else np.asarray(w, float) for w in cols[len(names) + i]])
+                   if rows else np.ones((0, len(net[v].states))) for i, v in enumerate(soft)}
+        mean, cov = [None] * rows, [None] * rows
+        if rows:
+            for pick, found in held[0].runs(data, scopes=((*heads, *tail),), soft=weights):
+                m, c = found.moments(heads, tuple(tail))
+                for j, i in enumerate(pick):
+                    mean[i], cov[i] = m[j].ravel(), c[j].ravel()
+        return pd.DataFrame({"mean": mean, "cov": cov})
+
+    sizes = [len(net[t].states) for t in tail]
+    found = scenarios.select(*[quoted(k) for k in key], moments(*(list(bound.values()) + mapped or [F.lit(0.0)])).alias("__m"))
+    found = found.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(prod(sizes) - 1))))
+    part = lambda c, n: F.slice(F.col(c), F.col("__t") * n + 1, F.lit(n))      # noqa: E731
+    out = found.select(*[quoted(k) for k in key], "__t", part("__m.mean", d).alias("mean"), part("__m.cov", d * d).alias("cov"))
+    out = out.filter(~F.isnan(F.get("mean", F.lit(0))))
+    state = {t: _state_name(model, t, F.floor(F.col("__t") / prod(sizes[i + 1:])).cast("int") % sizes[i]) for i, t in enumerate(tail)}
+    tail_text = F.concat_ws(", ", *[F.concat(F.lit(f"{t}="), state[t]) for t in tail])
     name = F.lit("P(" + ", ".join(heads))
     label = F.concat(name, F.lit(" | "), tail_text, F.lit(")")) if tail else F.concat(name, F.lit(")"))
-    return g.select(*keys, *[_state_name(model, t, F.col(slot[t])).alias(t) for t in tail],
-                    label.alias("distribution"), F.array(*m).alias("mean"), F.array(*cov).alias("cov"))
+    return out.select(*[quoted(k) for k in key], *[c.alias(t) for t, c in state.items()], label.alias("distribution"), "mean", "cov")
 
 
 def pair_moments(frame: DataFrame, heads, a: str, b: str) -> DataFrame:
@@ -288,6 +284,26 @@ def difference(base: DataFrame, new: DataFrame | None, on=("variable", "state"))
         "difference", F.col("probability") - F.col("base_probability"))
 
 
+def mean_posteriors(scenarios: DataFrame, model: Model, variables, *, key, soft=(), evidence=None) -> DataFrame:
+    """(key, variable, mean, variance) of several continuous variables given each scenario."""
+    key = [key] if isinstance(key, str) else list(key)
+    result = None
+    for v in variables:
+        one = gaussian_posterior(scenarios, model, [v], key=key, soft=soft, evidence=evidence)
+        part = one.select(*key, F.lit(v).alias("variable"), F.get("mean", F.lit(0)).alias("mean"), F.get("cov", F.lit(0)).alias("variance"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def mean_difference(base: DataFrame, new: DataFrame | None, on=("variable",)) -> DataFrame:
+    """M6 for continuous variables: base and new mean and variance side by side, and how far the mean moved."""
+    on = list(on)
+    b = base.select(*on, F.col("mean").alias("base_mean"), F.col("variance").alias("base_variance"))
+    if new is None:
+        return b
+    return b.join(new.select(*on, "mean", "variance"), on, "inner").withColumn("difference", F.col("mean") - F.col("base_mean"))
+
+
 def marginal_components(model: Model, name: str):
     """Marginal of one variable: state probabilities, or (weight, mean, variance) parts.
     Only the small grid of the variable's discrete ancestors is enumerated."""
@@ -327,7 +343,6 @@ def score_general(df: DataFrame, model: Model, target: str, *, id_col: str, evid
                   dtype: str = "string", suffix: str = "_maxlikelihood") -> DataFrame:
     """Q12: most likely state, all state probabilities and the loglikelihood of the other evidence,
     for a discrete target under any pattern of missing values. Rows stay in place."""
-    from posterion.operators.inference import score_rows
     from posterion.operators.score import ModelStatistics, MostLikelyState, StateProbability
     used = [c for c in (evidence or model.network.observed()) if c in df.columns and c != target]
     return score_rows(df, model, [MostLikelyState(target, dtype, suffix), StateProbability(target), ModelStatistics()],

@@ -298,3 +298,31 @@ def test_empty_tables_and_no_evidence(spark):
     prior = state_shares(model, {}, "d0")
     assert len(got) == 3 and all(g[f"d0$${s}_probability"] == pytest.approx(p, abs=1e-9) for g in got for s, p in prior.items())
     assert score_rows(ids.withColumn("d0", F.lit("nowhere")), model, [ModelStatistics()]).first().loglikelihood == pytest.approx(0.0, abs=1e-9)
+
+
+def test_gaussian_posteriors_with_evidence_in_the_group(spark):
+    from posterion.operators.posterior import gaussian_posterior, mean_difference, mean_posteriors
+    model = random_model(4, discrete=4, continuous=4)
+    rows = random_rows(model, 7, 15, gap=.5)
+    df = frame(spark, model, rows)
+    heads, tail = ["x1", "x3"], ["d1", "d3"]
+    met = 0
+    for g in gaussian_posterior(df, model, heads, key="id", tail=tail).collect():
+        row = {**rows[g.id], "d1": g.d1, "d3": g.d3}
+        m, v = moments(model, row, heads)
+        assert g.mean == pytest.approx(m, abs=1e-7) and g["cov"] == pytest.approx(v.ravel(), abs=1e-7)
+        assert g.distribution == f"P(x1, x3 | d1={g.d1}, d3={g.d3})"
+        met += 1
+    net = model.network
+    assert met == len(rows) * len(net["d1"].states) * len(net["d3"].states)
+    # soft evidence weighs the states of a gap
+    soft = df.drop("d2").withColumn("d2", F.when(F.col("id") % 2 == 0, F.create_map(F.lit("a"), F.lit(.2), F.lit("b"), F.lit(.7))))
+    for g in gaussian_posterior(soft, model, ["x0"], key="id", soft=["d2"]).collect():
+        found = [(w, x) for w, x in zip((.2, .7) if g.id % 2 == 0 else (1.0,) * 3, net["d2"].states)]
+        parts = [(w * math.exp(loglikelihood(model, {**rows[g.id], "d2": s}, ("x0",))), moments(model, {**rows[g.id], "d2": s}, ["x0"])[0][0]) for w, s in found]
+        assert g.mean[0] == pytest.approx(sum(w * m for w, m in parts) / sum(w for w, _ in parts), abs=1e-7)
+    base, new = mean_posteriors(df.filter("id = 0"), model, ["x0", "x2"], key="id"), mean_posteriors(df.filter("id = 1"), model, ["x0", "x2"], key="id")
+    for g in mean_difference(base, new).collect():
+        a, b = (moments(model, rows[i], [g.variable]) for i in (0, 1))
+        assert (g.base_mean, g.base_variance, g["mean"], g.variance) == pytest.approx((a[0][0], a[1][0, 0], b[0][0], b[1][0, 0]), abs=1e-7)
+        assert g.difference == pytest.approx(b[0][0] - a[0][0], abs=1e-7)
