@@ -211,7 +211,7 @@ def p6b(spark, d):
     # half of the bands are hidden; the bands sit above any_return
     df = dn_cases(spark, d).withColumn("qty_band", F.when(F.col("case_id") % 2 == 0, F.col("qty_band")))
     net = independent(discrete=["size_band", "qty_band", "any_return"])
-    model = fit_incomplete(df, with_edges(net, [("size_band", "qty_band"), ("qty_band", "any_return")]), iterations=5)
+    model = fit_incomplete(df, with_edges(net, [("size_band", "qty_band"), ("qty_band", "any_return")]), iterations=5, tolerance=0.0)
     return model.cpt_frame(spark).select("node", "parent_key", "state", rnd("p", 4).alias("p"))
 
 
