@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from posterion.llm.common import fresh, renamed, staged
 
@@ -29,6 +29,7 @@ SEGMENT = 32
 BAND, BANDS = 4, 16         # least hashes a key, and keys a text
 MIX = np.random.default_rng(SEED).integers(0, 1 << 64, BAND * BANDS, np.uint64) | np.uint64(1)
 SALTS = 256
+AGREE = 0.6                 # share of equal sketch places below which texts are not compared: at 0.8 missed by 1 in 10,000
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -73,11 +74,12 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return found.select(F.least("p", "fp").alias("u"), F.greatest("p", "fp").alias("v")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node reachable) of all nodes that have an edge.
 
     Large-star and small-star steps alternate until the edges stay the same; each keeps the
-    components and at most the number of edges, and stars of depth one remain.
+    components and at most the number of edges, and stars of depth one remain. They settle in a
+    number of steps that grows with the logarithm of the longest chain.
     """
     def smallest(e: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -87,7 +89,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     edges = staged(edges.select("u", "v"), "edges")
     before = mark(edges)
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(smallest(both), "u").filter(F.col("v") > F.col("u")).select(F.col("m").alias("u"), "v")
         up = large.filter("u < v").distinct().select(F.col("v").alias("u"), F.col("u").alias("v"))    # from a node to smaller ones
@@ -98,8 +100,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
 
 
@@ -137,36 +137,60 @@ def resemblance(a: str | None, b: str | None, width: int = 5) -> float:
     return len(x & y) / len(x | y)
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One signed key for each band of BAND least values of the mixed shingle hashes."""
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least value of each mixed hash over all shingles."""
     least = np.full(len(MIX), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at:at + 4096]
         np.minimum(least, ((part[None, :] ^ MIX[:, None]) * MIX[::-1, None]).min(axis=1), out=least)
+    return least
+
+
+def band_keys(least: np.ndarray) -> list[int]:
+    """One signed key for each band of BAND least values."""
     return [xxhash.xxh64_intdigest(least[k:k + BAND].tobytes(), k) - (1 << 63) for k in range(0, len(MIX), BAND)]
 
 
+def sketch(least: np.ndarray) -> list[int]:
+    """The low byte of each least value (its high ones are mostly zero), eight to a long."""
+    return least.astype(np.uint8).view(np.int64).tolist()
+
+
 def _signed(docs: DataFrame, name: str, text: str, width: int) -> DataFrame:
-    """The table with struct(digest of the words, n distinct shingles, band keys) in a new column."""
-    kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    """The table with struct(digest of the words, n distinct shingles, band keys, sketch) in a new column."""
+    kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
-    @F.arrow_udf("struct<digest:binary,n:int,keys:array<bigint>>")
+    @F.arrow_udf("struct<digest:binary,n:int,keys:array<bigint>,sketch:array<bigint>>")
     def of(texts: pa.Array) -> pa.Array:
         rows = []
         for t in texts:
             words = _words(t.as_py())
             hashes = np.unique(_hashes(words, width)) if words else np.empty(0, np.uint64)
-            rows.append({"digest": xxhash.xxh3_128_digest(b" ".join(words)), "n": len(hashes), "keys": band_keys(hashes) if words else []})
+            least = least_hashes(hashes)
+            rows.append({"digest": xxhash.xxh3_128_digest(b" ".join(words)), "n": len(hashes), "keys": band_keys(least) if words else [],
+                         "sketch": sketch(least)})
         return pa.array(rows, kind)
 
     return docs.withColumn(name, of(F.col(f"`{text}`")))
 
 
+def agreeing(a: Column, b: Column) -> Column:
+    """How many of the bytes of two sketches are equal."""
+    def unequal(i: int) -> Column:
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for step in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
+        return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    total = unequal(0)
+    for i in range(1, len(MIX) // 8):
+        total = total + unequal(i)
+    return F.lit(len(MIX)) - total
+
+
 def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (x, y) whose texts (row, text) resemble each other, checked by their words.
 
-    Only texts that stand in a pair move. A row y of many pairs is dealt over SALTS keys.
-    """
+    A row y of many pairs is dealt over SALTS keys."""
     @F.arrow_udf("boolean")
     def close(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([resemblance(s.as_py(), t.as_py(), width) >= similarity for s, t in zip(a, b)], pa.bool_())
@@ -177,41 +201,69 @@ def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
     return left.join(right, ["y", "salt"]).filter(close("a", "b")).select("x", "y")
 
 
-def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float = 0.8, rounds: int = 4) -> DataFrame | None:
-    """Verified links (x, y) between nodes (first struct(a, b, c: row), n, keys).
+def _rarest(shingles: DataFrame, similarity: float) -> DataFrame:
+    """row, n, gram, place: the rarest shingles of each row, n - ceil(similarity * n) + 1 of them in one order for
+    all, so that two rows of the wanted resemblance have one of them in common."""
+    often = shingles.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    ranked = shingles.join(often, "gram").groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    keep = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
+    return ranked.select("row", "n", F.posexplode(F.slice("g", F.lit(1), keep.cast("int"))).alias("place", "g")).select("row", "n", "place", F.col("g.gram").alias("gram"))
 
-    Nodes with a key in common meet in its bucket. In each round a bucket compares its first node
-    with all others; those alike are linked and leave with it. What is left after the rounds is
-    compared all with all, so two nodes of one bucket that both come first in their groups
-    have always been compared, and large groups of near copies cost one comparison a node.
-    """
-    def crowded(m: DataFrame) -> DataFrame:
-        many = m.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").select("key")
-        return staged(m.join(many, "key"), "buckets")
 
-    def sized(a, b):
-        return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b) - 1e-6
+def _missed(near: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Pairs of rows of different groups that may resemble each other: exact, by the prefix filter on rarest shingles.
 
-    found, members = None, crowded(nodes.select(F.explode("keys").alias("key"), "first", "n"))
-    for i in range(rounds + 1):
-        if members.isEmpty():
-            break
-        if i < rounds:
-            heads = members.groupBy("key").agg(F.min(F.struct("first", "n")).alias("head"))
-            met = members.join(heads, "key").filter(F.col("first.c") != F.col("head.first.c"))
-            size = F.col("head.n")
-        else:
-            other = members.select("key", F.col("first").alias("head"), F.col("n").alias("size"))
-            met = members.join(other, "key").filter(F.col("head") < F.col("first")).withColumn("head", F.struct(F.col("head").alias("first")))
-            size = F.col("size")
-        pairs = met.filter(sized(F.col("n"), size)).select(F.col("first.c").alias("x"), F.col("head.first.c").alias("y")).distinct()
-        links_now = staged(_alike(staged(pairs, "pairs"), texts, width, similarity), "alike")
-        found = links_now if found is None else found.unionByName(links_now)
-        if i == rounds:
-            break
-        left = met.join(links_now, (F.col("first.c") == F.col("x")) & (F.col("head.first.c") == F.col("y")), "left_anti")
-        members = crowded(left.select("key", "first", "n"))
-    return found
+    `near` holds row, root (its group so far) and minor: at least one row of a pair is minor. Two sets that share
+    what the resemblance asks for have it behind their first common shingle, which most matches fail."""
+    @F.arrow_udf("array<bigint>")
+    def grams(t: pa.Array) -> pa.Array:
+        return pa.array([np.unique(_hashes(_words(s.as_py()), width)).view(np.int64) for s in t], pa.list_(pa.int64()))
+
+    rows = texts.join(near.select("row"), "row").select("row", grams("text").alias("g"))
+    prefix = staged(_rarest(rows.select("row", F.size("g").alias("n"), F.explode("g").alias("gram")), similarity).join(near, "row"), "rarest")
+    one = prefix.filter("minor").select(F.col("row").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("place").alias("px"), "gram")
+    share = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("nx") + F.col("n")) - 1e-9)
+    both = one.join(prefix, (one["gram"] == prefix["gram"]) & (F.col("rx") != F.col("root")) & sized(F.col("nx"), F.col("n"), similarity)
+                    & (F.least(F.col("nx") - F.col("px"), F.col("n") - F.col("place")) >= share))
+    return both.select(F.least("x", "row").alias("x"), F.greatest("x", "row").alias("y")).distinct()
+
+
+def sized(a: Column, b: Column, similarity: float) -> Column:
+    """Sets of these sizes can resemble each other."""
+    return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b) - 1e-6
+
+
+def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The groups of nodes (first struct(a, b, c: row), n, keys, sketch): node, root of all rows that have a link.
+
+    Nodes with a key in common meet in its bucket, where the first node is compared with all others;
+    so a large group of near copies costs one comparison a node. Sketches that agree in too few places
+    skip the comparison of texts. The links so far make groups. In a bucket that still holds several,
+    the rows outside its largest one look for partners in the other groups of their buckets, by the
+    prefix filter on rarest shingles, which loses no pair. So two alike nodes of one bucket
+    end in one group, whichever links were compared.
+
+    Only texts of nodes in buckets move, once into a table of their own and then by pairs."""
+    buckets = nodes.select(F.explode("keys").alias("key"), F.col("first.c").alias("row"), "first", "n", "sketch")
+    heads = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("first", "n", "sketch")).alias("head"))
+             .filter("many > 1").select("key", "many", F.col("head.first.c").alias("h"), F.col("head.n").alias("hn"), F.col("head.sketch").alias("hs")))
+    likely = sized(F.col("n"), F.col("hn"), similarity) & (agreeing(F.col("sketch"), F.col("hs")) >= int(AGREE * len(MIX)))
+    met = staged(buckets.join(heads, "key").select("key", "row", "many", "h", likely.alias("likely")), "met")
+    busy = staged(texts.join(met.select("row").distinct(), "row", "left_semi"), "busy")
+    pairs = staged(met.filter("row <> h and likely").select(F.col("row").alias("x"), F.col("h").alias("y")).distinct(), "pairs")
+    linked = staged(_alike(pairs, busy, width, similarity), "alike")
+
+    root = components(_edges(linked))
+    placed = staged(met.filter("many > 2").join(root, F.col("row") == F.col("node"), "left").select("key", "row", F.coalesce("root", "row").alias("root")), "placed")
+    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("rows", "root"))["root"].alias("top")).filter("groups > 1")
+    near = placed.join(mixed, "key").groupBy("row", "root").agg(F.max(F.col("root") != F.col("top")).alias("minor"))
+    more = staged(_missed(staged(near, "near"), busy, width, similarity), "pairs")
+    return components(_edges(linked.unionByName(_alike(more, busy, width, similarity))))
+
+
+def _edges(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -222,18 +274,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     A fingerprint of 64 bits differs in about 10 bits at a resemblance of 0.8, beyond any radius
     that balls around segments can search without comparing most texts with most others. So texts
     meet by bands of least shingle hashes (a pair at 0.8 is missed with probability 0.0002, a closer
-    one with less), distinct texts only, and the pairs are checked exactly.
+    one with less; a sketch that agrees in too few places adds less than that), distinct texts only,
+    and the pairs are checked exactly.
     """
     sign, row = fresh(docs, "__sign"), fresh(docs, "__row")
     marked = staged(_signed(docs, sign, text, width).withColumn(row, F.monotonically_increasing_id()), "marked")
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("a"), F.col(f"`{id_col}`").alias("b"), F.col(row).alias("c"))
-    rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), F.col(sign)["n"].alias("n"), F.col(sign)["keys"].alias("keys")).alias("s"))
+    rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), *(F.col(sign)[c].alias(c) for c in ("n", "keys", "sketch"))).alias("s"))
     nodes = staged(rows.groupBy("digest").agg(F.min("s").alias("s")).select("s.*"), "nodes")
     texts = marked.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
-    found = alike(nodes, texts, width, similarity)
-    winners = nodes.select("first")
-    if found is not None:
-        comp = components(found.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
-        winners = nodes.join(comp, F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
+    winners = nodes.join(alike(nodes, texts, width, similarity), F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
     winners = staged(winners.select(F.col("first.c").alias(row)), "winners")
     return marked.join(winners, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

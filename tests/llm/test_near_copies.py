@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from posterion.llm import simhash
 
 
@@ -21,8 +24,54 @@ def test_no_pair_of_near_copies_stays(spark, data):
     kept = {r.doc_id for r in simhash.deduplicated(spark.read.parquet(f"{data}/documents.parquet")).collect()}
     links = brute_links(texts)
     assert links and not [p for p in links if kept >= set(p)]
-    linked = {x for p in links for x in p}
-    assert set(texts) - linked <= kept
+    assert kept == firsts(texts, links)
+
+
+def firsts(texts, links):
+    """The smallest id of each group of linked rows."""
+    parent = {i: i for i in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in sorted(links):
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {find(i) for i in texts}
+
+
+def test_chains_of_near_copies_are_one_group(spark):
+    """Texts that drift: the first and the last share little, neighbours share 0.8 or more; some drift the other way."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    texts, number = {}, 0
+    for chain in range(15):
+        base = [word() for _ in range(200)]
+        drift = [list(base)]
+        for step in range(12):
+            own = list(drift[r.randrange(len(drift))])
+            at = r.randrange(0, 185)
+            own[at:at + 12] = [word() for _ in range(12)]               # some 16 of 196 shingles change
+            drift.append(own)
+        for own in r.sample(drift, len(drift)):
+            texts[number] = " ".join(own)
+            number += 1
+    links = brute_links(texts)
+    kept = {k.doc_id for k in simhash.deduplicated(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == firsts(texts, links) and len(kept) < len(texts) / 3
+
+
+def test_sketches_count_equal_places(spark):
+    r = np.random.default_rng(1)
+    rows = []
+    for _ in range(200):
+        a = r.integers(0, 1 << 63, 64, dtype=np.uint64)
+        b = np.where(r.random(64) < .5, a, r.integers(0, 1 << 63, 64, dtype=np.uint64))
+        rows.append((simhash.sketch(a), simhash.sketch(b), int((a.astype(np.uint8) == b.astype(np.uint8)).sum())))
+    got = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, want int").select(simhash.agreeing(F.col("a"), F.col("b")).alias("got"), "want").collect()
+    assert all(g.got == g.want for g in got)
 
 
 def test_groups_of_near_copies_leave_one(spark):
