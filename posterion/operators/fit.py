@@ -22,6 +22,10 @@ MOMENT_SUMS = 100            # moment sums in one aggregate
 MOMENT_WORK = 400            # discrete families x moment sums up to which one aggregate serves both
 
 
+class TooManyStates(ValueError):
+    """The states do not fit on the driver: such columns are keyed (`operators.keyed`)."""
+
+
 def discover(df: DataFrame, network: Network) -> tuple[Network, dict[str, float]]:
     """States of the discrete variables that have none yet, and the mean of each
     continuous column (used to centre the moment sums); one scan for both."""
@@ -43,7 +47,7 @@ def discover(df: DataFrame, network: Network) -> tuple[Network, dict[str, float]
             .agg(F.grouping_id().alias("gid"), *means)
             .limit(MAX_STATES + 1).collect())
     if len(rows) > MAX_STATES:
-        raise ValueError(f"more than {MAX_STATES} states; treat high-cardinality columns as continuous or bin them")
+        raise TooManyStates(f"more than {MAX_STATES} states; key the high-cardinality columns, or bin them")
     full = (1 << len(keys)) - 1
     states: dict[str, tuple[str, ...]] = {}
     for i, name in enumerate(open_vars):
@@ -202,12 +206,19 @@ def moment_frame(stats: DataFrame, network: Network, centres: dict[str, float])
                     F.zip_with("dev", "shift", lambda a, b: a + b).alias("mean"), cov.alias("cov"))
 
 
-def fit(df: DataFrame, network: Network, *, weight: str | Column | None = None, alpha: float = 0.0) -> Model:
+def fit(df: DataFrame, network: Network, *, weight: str | Column | None = None, alpha: float = 0.0):
     """Maximum-likelihood parameters of a fully observed network.
 
-    Rows stay on the executors; only parameter cells come back, and their number is checked.
+    Rows stay on the executors; only parameter cells come back, and their number is checked. Columns
+    of too many states to list keep their families as tables (a `KeyedModel`, which score() takes too).
     """
-    network, centres = discover(df, network)
+    try:
+        network, centres = discover(df, network)
+    except TooManyStates:
+        if alpha or isinstance(weight, Column):
+            raise
+        from posterion.operators.keyed import fit_keyed
+        return fit_keyed(df, network, weight=weight)
     rows = collect_cells(statistics(df, network, centres, weight=weight))
     return Model.from_statistics(network, rows, centres, alpha=alpha)
 

@@ -30,7 +30,7 @@ class Request:
 class Batch:
     """Answers of all queries for one batch; each needs the propagations of its own left-out set."""
 
-    def __init__(self, engine: Engine, requests: dict[frozenset, Request], data: dict[str, np.ndarray], rows: int):
+    def __init__(self, engine: Engine, requests: dict[frozenset, Request], data: dict[str, np.ndarray], rows: int, extra=()):
         self.engine, self.rows, self.data = engine, rows, data
         self.ll: dict[frozenset, np.ndarray] = {}
         self.states: dict[str, np.ndarray] = {}
@@ -43,7 +43,7 @@ class Batch:
             for v in request.heads:
                 self.mean[v], self.variance[v] = np.full(rows, np.nan), np.full(rows, np.nan)
             for pick, found in engine.runs(data, without=gone, keep=frozenset(request.keep),
-                                           scopes=tuple((v,) for v in (*sorted(request.keep), *request.heads))):
+                                           scopes=tuple((v,) for v in (*sorted(request.keep), *request.heads)), extra=extra):
                 ll[pick] = found.loglikelihood
                 for v in request.keep:
                     self.states[v][pick] = found.states(v)

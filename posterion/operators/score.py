@@ -349,6 +349,9 @@ def score(df: DataFrame, model: Model, queries=None, *, id_col: str | None = Non
     """
     queries = list(queries) if queries else [ModelStatistics()]
     net = model.network
+    if not isinstance(model, Model):
+        from posterion.operators.keyed import score_keyed
+        return score_keyed(df, model, queries, id_col=id_col, evidence=evidence, append=append)
     if not any(n in df.columns for n in net.observed() if evidence is None or n in evidence):
         raise ValueError("no column of the table is a variable of the network")
     for q in queries:
