@@ -97,7 +97,9 @@ def keyed(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
         found = (table[features(t.as_py())] for t in texts)
         return pa.array((float(r.sum()) * TEMPER / (len(r) + TEMPER) for r in found), pa.float64())
 
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
+    # a document without id draws by its text
+    own = F.xxhash64(F.col(f"`{id_col}`"), F.when(F.col(f"`{id_col}`").isNull(), F.col(f"`{text}`")), F.lit(seed))
+    u = (F.shiftrightunsigned(own, 11).cast("double") + 0.5) / float(1 << 53)
     return docs.withColumn(weight, of(F.col(f"`{text}`"))).withColumn(key, F.col(weight) - F.log(-F.log(u)))
 
 

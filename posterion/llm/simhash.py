@@ -244,12 +244,18 @@ def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float
     end in one group, whichever links were compared.
 
     Only texts of nodes in buckets move, once into a table of their own and then by pairs."""
-    buckets = nodes.select(F.explode("keys").alias("key"), F.col("first.c").alias("row"), "first", "n", "sketch")
-    heads = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("first", "n", "sketch")).alias("head"))
-             .filter("many > 1").select("key", "many", F.col("head.first.c").alias("h"), F.col("head.n").alias("hn"), F.col("head.sketch").alias("hs")))
+    # keys and rows alone are dealt to find the buckets; what describes a node follows only into buckets of several
+    every = nodes.select(F.explode("keys").alias("key"), F.col("first.c").alias("row"))
+    many = every.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    crowded = staged(every.join(many, "key"), "crowded")
+    rows = staged(crowded.select("row").distinct(), "rows")
+    known = staged(nodes.withColumn("row", F.col("first.c")).join(rows, "row").select("row", "first", "n", "sketch"), "known")
+    heads = crowded.join(known.select("row", "first"), "row").groupBy("key").agg(F.min("first")["c"].alias("h"))
+    met = crowded.join(heads, "key").join(known.select("row", "n", "sketch"), "row")
+    met = met.join(known.select(F.col("row").alias("h"), F.col("n").alias("hn"), F.col("sketch").alias("hs")), "h")
     likely = sized(F.col("n"), F.col("hn"), similarity) & (agreeing(F.col("sketch"), F.col("hs")) >= int(AGREE * len(MIX)))
-    met = staged(buckets.join(heads, "key").select("key", "row", "many", "h", likely.alias("likely")), "met")
-    busy = staged(texts.join(met.select("row").distinct(), "row", "left_semi"), "busy")
+    met = staged(met.select("key", "row", "many", "h", likely.alias("likely")), "met")
+    busy = staged(texts.join(rows, "row", "left_semi"), "busy")
     pairs = staged(met.filter("row <> h and likely").select(F.col("row").alias("x"), F.col("h").alias("y")).distinct(), "pairs")
     linked = staged(_alike(pairs, busy, width, similarity), "alike")
 
