@@ -3,11 +3,13 @@
 Documents become token ids with an end id; only those longer than a sequence are cut. Pieces are
 packed where they are read, in bounded buffers: each bin takes the longest piece left, and a
 bitset subset-sum over the lengths left finds the fullest combination for the rest of it. Only
-exactly full bins leave a task; what stays over from all tasks (a few bins each) is packed again
-in as few groups as its size allows, and there all bins leave.
+exactly full bins leave a task; pieces of other bins stay over, also when the buffer has to be
+emptied. What stays over from all tasks is dealt at random into as few groups as its size allows
+and packed again, round after round, until one group holds it or a round gains little; then all
+bins leave.
 
-The texts are never shuffled: one written table holds the pieces, and the second packing moves
-only its share of leftovers. Sequence ids name the task or group and a counter.
+The texts are never shuffled: one written table holds the pieces, and later rounds move only
+what stayed over. Sequence ids name the round, the task or group, and a counter.
 
 Defined cases: null or empty text is the end id alone; repeated rows are separate documents; ids
 of documents may be null or repeated; an empty table gives no rows.
@@ -26,6 +28,8 @@ from posterion.llm.tokens import encoder
 LENGTH = 4096
 END = 1
 BUFFER_TOKENS = 4 << 20
+GAIN = 0.8                   # a round that leaves more than this share is the last but one
+TURNS = 60
 SCHEMA = "piece int, start long, length long, ids binary, sequence_id long, offset long"
 
 
@@ -75,7 +79,8 @@ def bins(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class _Packer:
-    """Pieces of one task: full bins leave early, the rest at the end."""
+    """Pieces of one task: full bins leave, the rest stays over without a sequence; in the last round (`everything`)
+    all bins leave."""
 
     def __init__(self, schema: pa.Schema, base: int, capacity: int, everything: bool):
         self.schema, self.base, self.capacity, self.everything = schema, base, capacity, everything
@@ -93,9 +98,9 @@ class _Packer:
         lengths = [r[3] for r in self.rows]
         packed = bins(lengths, self.capacity)
         loose = sum(sum(lengths[i] for i in b) < self.capacity for b in packed)
-        early = not last and loose * self.capacity > BUFFER_TOKENS // 2      # too much would stay: let all go
+        empty = last or loose * self.capacity > BUFFER_TOKENS // 2      # too much would stay in memory
         for b in packed:
-            if self.everything and last or early or sum(lengths[i] for i in b) == self.capacity:
+            if self.everything and empty or sum(lengths[i] for i in b) == self.capacity:
                 at = 0
                 for i in b:
                     out.append((*self.rows[i], self.base + self.made, at))
@@ -104,9 +109,10 @@ class _Packer:
             else:
                 rest += b
         self.rows = [self.rows[i] for i in sorted(rest)]
-        self.tokens = sum(r[3] for r in self.rows)
-        if last:
+        if empty:
             out += [(*r, None, None) for r in self.rows]
+            self.rows = []
+        self.tokens = sum(r[3] for r in self.rows)
         for at in range(0, len(out), 2000):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[at:at + 2000]), self.schema)], schema=self.schema)
 
@@ -132,12 +138,12 @@ def _first(path: str, capacity: int, end: int):
     return run
 
 
-def _second(capacity: int):
+def _again(capacity: int, turn: int, everything: bool):
     def run(batches):
         packer = None
         for batch in batches:
             if packer is None:
-                packer = _Packer(_arrow(batch.schema.field(0).type), 1 << 62 | TaskContext.get().partitionId() << 32, capacity, True)
+                packer = _Packer(_arrow(batch.schema.field(0).type), turn << 56 | TaskContext.get().partitionId() << 32, capacity, everything)
             for row in zip(*(c.to_pylist() for c in batch.columns[:5])):
                 yield from packer.add(row)
         if packer:
@@ -150,7 +156,22 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, {SCHEMA}"
     pieces = staged(narrow.mapInArrow(_first(path, capacity, end), schema), "pieces")
-    loose = pieces.filter("sequence_id is null")
-    tokens = loose.agg(F.sum("length")).first()[0] or 0
-    again = loose.repartition(max(1, -(-tokens // BUFFER_TOKENS)), F.xxhash64("ids", "start"))
-    return pieces.filter("sequence_id is not null").unionByName(again.mapInArrow(_second(capacity), schema))
+    done, turn, before = [pieces.filter("sequence_id is not null")], 1, None
+    while True:
+        loose = pieces.filter("sequence_id is null")
+        tokens = loose.agg(F.sum("length")).first()[0] or 0
+        groups = max(1, -(-tokens // BUFFER_TOKENS))
+        last = groups == 1 or turn == TURNS or before is not None and tokens > GAIN * before
+        # dealt by row, not by content: copies and runs of one length spread over all groups
+        salt = F.xxhash64(F.monotonically_increasing_id(), F.lit(turn))
+        again = loose.withColumn("salt", salt).repartition(groups, "salt").drop("salt").mapInArrow(_again(capacity, turn, last), schema)
+        if last:
+            done.append(again)
+            break
+        pieces = staged(again, "pieces")
+        done.append(pieces.filter("sequence_id is not null"))
+        turn, before = turn + 1, tokens
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out

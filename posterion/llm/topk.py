@@ -12,7 +12,9 @@ pair of blocks gives at most k rows a query, and a grouped limit merges them.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; vectors
 are compared with those of the same length only; rows of the same id but the query's own id are
-skipped as the query itself; null ids take no part; ties go to the smaller id.
+skipped as the query itself; null ids take no part; ties go to the smaller id. Components are held
+within 2^60 on both sides. Scores beyond 2^53 are summed in whole numbers of any length; what
+a long cannot hold is given as the largest or smallest long, in the order of the true scores.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 SCALE = 1024
 BLOCK = 4096
 QUERY_BLOCK = 256
+LARGEST = 2.0 ** 60
 FEW = 64            # so few candidates left are scored at once
 
 
@@ -42,7 +45,7 @@ def _blocks(size: int):
         def block(dim):
             nonlocal number
             ids, rows = zip(*held.pop(dim))
-            values = np.floor(SCALE * np.array(rows, np.float64).reshape(len(ids), dim)).astype("<i8")
+            values = np.clip(np.floor(SCALE * np.array(rows, np.float64).reshape(len(ids), dim)), -LARGEST, LARGEST).astype("<i8")
             number += 1
             return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([part], pa.int32()), pa.array([number - 1], pa.int32()),
                                                pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())],
@@ -66,6 +69,7 @@ class Lists:
         largest = float(np.abs(values).max()) if values.size else 0.0
         # sums of whole numbers are exact under 2 ** 24 in the short form, under 2 ** 53 in the long one
         self.short = dim * largest * largest < 2 ** 24
+        self.whole = values
         self.values = values.astype(np.float32 if self.short else np.float64)
         self.largest = largest
         order = np.argsort(values, axis=0, kind="stable")
@@ -83,6 +87,9 @@ class Lists:
         far = np.where(q >= 0, self.sorted[0], self.sorted[-1]) * q if n else q     # the least a list can give
         depth, step = max(1, n // 2), max(1, n // 8)
         values, rank = self.values, self.rank
+        # larger sums are rounded: bounds are widened by what rounding can do, and survivors are summed in whole numbers
+        size = dim * self.largest * float(np.abs(query).max(initial=0))
+        error = 0.0 if size < 2 ** 53 else 8 * (dim + 4) * 2.0 ** -53 * size
         if len(alive) < n:
             values, rank = values[alive], rank[alive]
         while len(alive) > max(k, FEW) and depth < n:
@@ -93,9 +100,12 @@ class Lists:
             unread = np.stack([far.sum() - read @ far, last.sum() - read @ last])
             lower, upper = partial + unread
             bar = np.partition(lower, len(alive) - k)[len(alive) - k]
-            stay = upper >= bar
+            stay = upper >= bar - 2 * error
             alive, values, rank = alive[stay], values[stay], rank[stay]
             depth = min(n, depth + step)
+        if error:
+            exact = sorted((-int(s), int(i)) for s, i in zip(self.whole[alive].astype(object) @ query.astype(object), ids[alive]))[:k]
+            return [(max(-(1 << 63), min((1 << 63) - 1, -s)), i) for s, i in exact]
         scores = (self.values[alive] @ q).astype(np.int64)
         best = np.lexsort((ids[alive], -scores))[:k]
         return list(zip(scores[best].tolist(), ids[alive][best].tolist()))
