@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from catalogue.tables import (DC, DN, DN1, DN_CPT, DN_FAMILIES, EC, EM, GR1, MG1, MX, MX1, NB, NB1, NB_LL, OC, TC, band_sql,
@@ -10,6 +12,7 @@ from catalogue.tables import (DC, DN, DN1, DN_CPT, DN_FAMILIES, EC, EM, GR1, MG1
 from posterion.operators import bins as B
 from posterion.operators.fit import cpt_frame, discover, fit, moment_frame, statistics, training_metrics
 from posterion.operators.mixture import fit_incomplete, fit_mixture
+from posterion.operators.mixed import independence
 from posterion.operators.score import ModelStatistics, score
 from posterion.operators.structure import learn_greedy, learn_pc, learn_tan, links_frame, mutual_information
 from posterion.operators.tables import missing_families
@@ -339,3 +342,56 @@ def g4b(spark, d):
     df = dn_cases(spark, d)
     links = learn_tan(df, "any_return", ["size_band", "o_orderpriority", "qty_band"])
     return cpt_out(df, from_links(independent(discrete=G2_COLUMNS), links))
+
+
+# -- tests over both kinds of columns ------------------------------------------------
+
+CG_TESTS = [("any_return", "sum_qty", ()), ("any_return", "price_k", ()), ("any_return", "price_k", ("sum_qty",)), ("any_return", "sum_qty", ("price_k",)),
+            ("size_band", "price_k", ("sum_qty",)), ("size_band", "price_k", ("any_return",)), ("sum_qty", "price_k", ("any_return",)),
+            ("any_return", "price_k", ("size_band", "sum_qty"))]
+CG_CONTINUOUS = ["sum_qty", "price_k"]
+
+
+def cg_sql(a: str, b: str, given) -> str:
+    """Conditional-Gaussian likelihood ratio of one test: `g2`, `df` (at most two continuous columns)."""
+    names = [a, b, *given]
+    ds, cs = [n for n in names if n not in CG_CONTINUOUS], [n for n in names if n in CG_CONTINUOUS]
+    keys = ", ".join(ds) or "0"
+    source = (f"(select * from (select {', '.join(names)}, count(*) over (partition by {keys}) cell_n from oc where {' and '.join(n + ' is not null' for n in names)}) "
+              f"where cell_n >= {len(cs) + 2})")
+    terms, free = [], []
+    for sign, own in (("", names), ("", list(given)), ("-", [a, *given]), ("-", [b, *given])):
+        d, c = [n for n in ds if n in own], [n for n in cs if n in own]
+        v = [f"(var_pop({n}) + 1e-9 * (select var_pop({n}) from oc))" for n in c]
+        det = f"ln({v[0]} * {v[1]} - covar_pop({c[0]}, {c[1]}) * covar_pop({c[0]}, {c[1]}))" if len(c) == 2 else f"ln({v[0]})" if c else "0"
+        group = f"group by {', '.join(d)}" if d else ""
+        terms.append(f"{sign}coalesce((select sum(n * ln(n) - n / 2.0 * ld) from (select count(*) n, {det} ld from {source} {group})), 0)")
+        free.append(f"{sign}{1 + len(c) + len(c) * (len(c) + 1) // 2} * (select count(*) from (select count(*) from {source} {group}))")
+    return (f"select '{a}' as a, '{b}' as b, '{','.join(given)}' as given, round(greatest(2 * ({' + '.join(terms)}), 0), 2) + 0.0 as g2, "
+            f"({' + '.join(free)})::int as df")
+
+
+@query("g2_mixed_tests", with_ctes(OC) + " union all ".join(f"({cg_sql(*t)})" for t in CG_TESTS))
+def g2_mixed_tests(spark, d):
+    found = independence(order_cases(spark, d), ["any_return", "size_band"], CG_CONTINUOUS, CG_TESTS)
+    return found.select("a", "b", "given", rnd("g2", 2).alias("g2"), "df")
+
+
+ALPHA = 0.001
+# p <= alpha in terms of the statistics themselves: the normal approximation of chi-square, and Fisher's z
+DEPENDENT = f"""(df > 0 and (power(g2 / greatest(df, 1), 1.0 / 3) - (1 - 2.0 / (9 * greatest(df, 1)))) / sqrt(2.0 / (9 * greatest(df, 1))) >= {NormalDist().inv_cdf(1 - ALPHA)!r})"""
+CORRELATED = f"(select sqrt(count(*) - 3) * abs(atanh(corr(sum_qty, price_k))) >= {NormalDist().inv_cdf(1 - ALPHA / 2)!r} from oc where sum_qty is not null and price_k is not null)"
+
+
+@query("g2_pc_mixed", with_ctes(OC, *[f"{n} as (select {DEPENDENT} as yes from ({cg_sql(*t)}))" for n, t in (
+    ("aq", ("any_return", "sum_qty", ())), ("ap", ("any_return", "price_k", ())), ("aq_p", ("any_return", "sum_qty", ("price_k",))),
+    ("ap_q", ("any_return", "price_k", ("sum_qty",))), ("qp_a", ("sum_qty", "price_k", ("any_return",))))],
+    f"first as (select (select yes from aq) aq, (select yes from ap) ap, {CORRELATED} qp)",
+    # a test given the third column counts where that column is still linked to one of the two
+    """second as (select aq and ((select yes from aq_p) or not (ap or qp)) aq, ap and ((select yes from ap_q) or not (aq or qp)) ap,
+      qp and ((select yes from qp_a) or not (aq or ap)) qp from first)""") + """
+  select 'any_return' as parent, 'sum_qty' as child from second where aq union all select 'any_return', 'price_k' from second where ap
+  union all select 'sum_qty', 'price_k' from second where qp""")
+def g2_pc_mixed(spark, d):
+    df = order_cases(spark, d)
+    return links_frame(df, learn_pc(df, discrete=["any_return"], continuous=CG_CONTINUOUS, alpha=ALPHA))

@@ -136,12 +136,14 @@ def correlation_matrix(df: DataFrame, columns) -> tuple[float, np.ndarray]:
 
 
 def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05, max_given: int = 2) -> list[tuple[str, str]]:
-    """PC with G2 tests (all-discrete) or Fisher-z tests (all-continuous).
+    """PC with G2 tests (all-discrete), Fisher-z tests (all-continuous), or both and likelihood ratios
+    of conditional Gaussians (`mixed`) where columns of both kinds are given.
 
     Every level is one batched counting job; edges removed at one level shrink the next.
     """
     if discrete and continuous:
-        raise ValueError("bin the continuous columns first, or test one kind at a time")
+        from posterion.operators.mixed import mixed_pc
+        return mixed_pc(df, list(discrete), list(continuous), alpha=alpha, max_given=max_given)
     names = list(discrete or continuous)
     if discrete:
         cells, network = _cells(df, names)
@@ -159,10 +161,7 @@ def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05,
             break
         results = {}
         if discrete:
-            for start in range(0, len(tests), TEST_BATCH):
-                for r in information(contingency(cells, network, tests[start:start + TEST_BATCH])).collect():
-                    free = (r["nx"] - 1) * (r["ny"] - 1) * r["nz"]
-                    results[start + r["test"]] = chi_square_p(r["g2"], free)
+            results = refuted_by_counts(cells, network, tests)
         else:
             for i, (a, b, g) in enumerate(tests):
                 r = partial_correlation(corr, names.index(a), names.index(b), [names.index(x) for x in g])
@@ -175,9 +174,19 @@ def learn_pc(df: DataFrame, *, discrete=(), continuous=(), alpha: float = 0.05,
     return orient(names, adjacent, separators)
 
 
-def orient(names, adjacent, separators) -> list[tuple[str, str]]:
-    """Colliders first, then the three propagation rules; what stays open follows column order."""
-    directed: set[tuple[str, str]] = set()
+def refuted_by_counts(cells: DataFrame, network: Network, tests) -> dict[int, float]:
+    """p-value of each discrete test that has any rows."""
+    results = {}
+    for start in range(0, len(tests), TEST_BATCH):
+        for r in information(contingency(cells, network, tests[start:start + TEST_BATCH])).collect():
+            results[start + r["test"]] = chi_square_p(r["g2"], (r["nx"] - 1) * (r["ny"] - 1) * r["nz"])
+    return results
+
+
+def orient(names, adjacent, separators, fixed=()) -> list[tuple[str, str]]:
+    """Colliders first, then the three propagation rules; what stays open follows column order.
+    `fixed` links have their direction from the start."""
+    directed: set[tuple[str, str]] = set(fixed)
 
     def linked(a, b):
         return frozenset((a, b)) in adjacent
