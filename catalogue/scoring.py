@@ -291,7 +291,18 @@ def q16(spark, d):
     return sample(ids, model, id_col="case_id", seed=7)
 
 
-@query("q16_sample_given")
+# given a returned line: the band first, then the quantity given the band, then the priority
+GIVEN = """e_size as (select s.size_band, s.p * sum(q.p * r.p) p from p_size s join p_qty q on q.size_band = s.size_band
+  join p_ret r on r.size_band = q.size_band and r.qty_band = q.qty_band and r.any_return = 1 group by s.size_band, s.p),
+e_size_n as (select size_band, p / sum(p) over () p from e_size),
+e_qty as (select q.size_band, q.qty_band, q.p * r.p / sum(q.p * r.p) over (partition by q.size_band) p from p_qty q
+  join p_ret r on r.size_band = q.size_band and r.qty_band = q.qty_band and r.any_return = 1)"""
+
+
+@query("q16_sample_given", with_ctes(
+    DN, DN_WIDE, GIVEN, cum_sql("e_size_n", "size_band", []), cum_sql("p_prio", "o_orderpriority", []), cum_sql("e_qty", "qty_band", ["size_band"]),
+    "b0 as (select case_id from oc)", pick_sql("b1", "b0", "size_band", [], 7), pick_sql("b2", "(select * exclude (u) from b1)", "qty_band", ["size_band"], 7),
+    pick_sql("b3", "(select * exclude (u) from b2)", "o_orderpriority", [], 7)) + "select case_id, size_band, o_orderpriority, qty_band, '1' as any_return from b3")
 def q16b(spark, d):
     model = fit(dn_cases(spark, d), DN1)
     ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id"))

@@ -326,3 +326,39 @@ def test_gaussian_posteriors_with_evidence_in_the_group(spark):
         a, b = (moments(model, rows[i], [g.variable]) for i in (0, 1))
         assert (g.base_mean, g.base_variance, g["mean"], g.variance) == pytest.approx((a[0][0], a[1][0, 0], b[0][0], b[1][0, 0]), abs=1e-7)
         assert g.difference == pytest.approx(b[0][0] - a[0][0], abs=1e-7)
+
+
+def test_samples_given_evidence_follow_the_posterior(spark):
+    from posterion.operators.sampling import sample
+    model = random_model(30, discrete=4, continuous=3)
+    evidence = {"d2": "a", "x1": 0.7}
+    ids = spark.range(40000).withColumnRenamed("id", "case_id")
+    s = sample(ids, model, id_col="case_id", seed=3, evidence=evidence)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+    got = s.toPandas()
+    assert set(got.d2) == {"a"} and set(got.x1) == {0.7} and len(got) == 40000
+    found = list(worlds(model, evidence))
+    w, _ = weights(found)
+    w = w / w.sum()
+    share = got.groupby(["d0", "d1", "d3"]).size() / len(got)
+    for p, (at, *_) in zip(w, found):
+        assert share.get((at["d0"], at["d1"], at["d3"]), 0.0) == pytest.approx(p, abs=.012)
+    mean, cov = moments(model, evidence, ["x0", "x2"], gone=())
+    assert got[["x0", "x2"]].mean().to_numpy() == pytest.approx(mean, abs=.05)
+    assert np.cov(got[["x0", "x2"]].to_numpy().T, bias=True) == pytest.approx(cov, abs=.12)
+    again = sample(ids, model, id_col="case_id", seed=3, evidence=evidence)
+    assert s.exceptAll(again).count() == 0
+    with pytest.raises(ValueError):
+        sample(ids, model, id_col="case_id", evidence={"d0": "nowhere"})
+
+
+def test_samples_given_evidence_in_a_long_chain(spark):
+    """Forty hidden columns: tables stay as large as the buckets."""
+    from posterion.operators.sampling import sample
+    n = 41
+    names = [f"s{i:02d}" for i in range(n)]
+    net = Network(tuple(Variable(v, states=("0", "1")) for v in names), tuple(zip(names, names[1:])))
+    tables = {"s00": {(): {"0": .5, "1": .5}}} | {v: {("0",): {"0": .9, "1": .1}, ("1",): {"0": .2, "1": .8}} for v in names[1:]}
+    got = sample(spark.range(4000).withColumnRenamed("id", "case_id"), Model(net, tables, {}), id_col="case_id", evidence={"s40": "1"}).toPandas()
+    assert set(got.s40) == {"1"} and (got.s39 == "1").mean() == pytest.approx(.8 * (1 / 3) / (.8 / 3 + .1 * 2 / 3), abs=.03)
