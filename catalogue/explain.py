@@ -57,9 +57,35 @@ def i2(spark, d):
     return rounded(I.common_tuples(spark, dn1(spark, d), TARGET, STATE), ["evidence"], ["difference", "max_difference"])
 
 
-@query("i3_descriptive_combinations")
+def greedy_sql(steps: int, stop: str) -> str:
+    """Unrolled greedy chains per model m over the joint cells `j2`: step k takes the state with the largest difference
+    given the states so far. `stop` ends a chain after a step (b: this step, a: the one before)."""
+    out = ["cells as (select m, i, 'size_band' as variable, size_band as state, any_return, p from j2 union all select m, i, 'o_orderpriority', o_orderpriority, any_return, p from j2"
+           " union all select m, i, 'qty_band', qty_band, any_return, p from j2)", "alive0 as (select m, i from j2)"]
+    for k in range(1, steps + 1):
+        taken = " ".join(f"and not exists (select 1 from best{j} b where b.m = c.m and b.variable = c.variable)" for j in range(1, k))
+        rows = f"(select c.m, c.variable, c.state, c.any_return, c.p from cells c join alive{k - 1} a on a.m = c.m and a.i = c.i where true {taken})"
+        out.append(f"t{k} as (select j.m, sum(case when any_return = '1' then p else 0 end) / sum(p) pt from j2 j join alive{k - 1} a on a.m = j.m and a.i = j.i group by 1)")
+        out.append(f"""best{k} as materialized (select x.m, variable, state, difference, pt from (select *, row_number() over (partition by m order by round(difference, 12) desc nulls last, variable, state) r
+          from ({measures_sql(rows, 'm')})) x join t{k} using (m) where r = 1)""")
+        before = f"left join best{k - 1} a on a.m = b.m" if k > 1 else "left join (select null::double pt) a on true"
+        out.append(f"""alive{k} as (select o.m, o.i from alive{k - 1} o join cells c on c.m = o.m and c.i = o.i join best{k} b on b.m = c.m and b.variable = c.variable and b.state = c.state
+          {before} where not coalesce({stop}, false))""")
+    steps_ = " union all ".join(f"select cast(m as varchar) as model_id, {k - 1} as step, variable, state, difference, pt as probability from best{k}" for k in range(1, steps + 1))
+    return ", ".join(out) + f", steps as ({steps_})"
+
+
+STEPS = "model_id, step, variable, state, round(difference, 6) + 0.0 as difference, round(probability, 6) + 0.0 as probability"
+
+
+def steps_out(frame, *more):
+    return frame.select("model_id", "step", "variable", "state", *[rnd(c, 6).alias(c) for c in ("difference", "probability", *more)])
+
+
+@query("i3_descriptive_combinations", with_ctes(DN, DN_WIDE, "j2 as (select 'None' as m, row_number() over () i, * from joint)", greedy_sql(3, "b.difference is null or b.difference < 0.05")) +
+       f"select {STEPS}, round(sum(difference) over (partition by model_id), 6) + 0.0 as max_difference from steps")
 def i3(spark, d):
-    return I.descriptive_combinations(spark, dn1(spark, d), TARGET, STATE)
+    return steps_out(I.descriptive_combinations(spark, dn1(spark, d), TARGET, STATE), "max_difference")
 
 
 def fold_models(spark, d):
@@ -164,14 +190,17 @@ def i10(spark, d):
     return I.cluster_rank(seeded_means(spark, d), by=("model_id",)).select("model_id", "k", "rank")
 
 
-@query("i11_top_combinations")
+FOLD_CELLS = with_ctes(DN, FOLD_JOINT, "j2 as (select row_number() over () i, * from joint)")
+
+
+@query("i11_top_combinations", FOLD_CELLS + ", " + greedy_sql(3, "false") + f"select {STEPS}, round(max(probability) over (partition by model_id), 6) + 0.0 as max_probability from steps")
 def i11(spark, d):
-    return I.top_variable_combinations(spark, fold_models(spark, d), TARGET, STATE, models=("0", "1", "2"))
+    return steps_out(I.top_variable_combinations(spark, fold_models(spark, d), TARGET, STATE, models=("0", "1", "2")), "max_probability")
 
 
-@query("i12_variable_combinations")
+@query("i12_variable_combinations", FOLD_CELLS + ", " + greedy_sql(3, "round(b.pt, 4) = round(a.pt, 4)") + f"select {STEPS} from steps")
 def i12(spark, d):
-    return I.variable_combinations(spark, fold_models(spark, d), TARGET, STATE, models=("0", "1", "2"))
+    return steps_out(I.variable_combinations(spark, fold_models(spark, d), TARGET, STATE, models=("0", "1", "2")))
 
 
 @query("i13_rationalise", FINS + """select variable || '$$' || state as evidence, round(sum(difference * probability), 6) + 0.0 as score from fins

@@ -297,11 +297,15 @@ def g2(spark, d):
     return links_frame(dn_cases(spark, d), learn_pc(dn_cases(spark, d), discrete=G2_COLUMNS))
 
 
-@query("g2_pc_control")
+WEAK = 0.0001
+CHI = "(df > 0 and (power(g2 / df, 1.0 / 3) - (1 - 2.0 / (9 * df))) / sqrt(2.0 / (9 * df)) >= {})"
+
+
+@query("g2_pc_control", with_ctes(EC) + f"select count(*) as n_links from ({mi_sql('ec', 'event_type', 'hr')}) where {CHI.format(repr(NormalDist().inv_cdf(1 - WEAK)))}")
 def g2b(spark, d):
     # independent columns: links only by chance at the test's level
     df = event_cases(spark, d)
-    return links_frame(df, learn_pc(df, discrete=["event_type", "hr"], alpha=0.0001)).agg(F.count(F.lit(1)).alias("n_links"))
+    return links_frame(df, learn_pc(df, discrete=["event_type", "hr"], alpha=WEAK)).agg(F.count(F.lit(1)).alias("n_links"))
 
 
 @query("g2_pc_continuous")
@@ -336,7 +340,21 @@ def g4(spark, d):
     return links_frame(df, learn_greedy(df, G2_COLUMNS, fold="fold", k=3))
 
 
-@query("g4_refit_learned_links", None)
+def refit_sql() -> str:
+    """CPTs of the TAN links: every family that the links may give, where they do."""
+    other = {"size_band": [], "o_orderpriority": ["size_band", "qty_band"], "qty_band": ["size_band", "o_orderpriority"]}
+    tan = tan_sql()
+    # the links as one more table of the same statement
+    head, links = tan[:tan.index("select 'any_return' as parent")], tan[tan.index("select 'any_return' as parent"):]
+    parts = [cpt_sql("dn", "any_return")]
+    for child, extra in other.items():
+        none = " and ".join(f"not exists (select 1 from tan where parent = '{p}' and child = '{child}')" for p in extra) or "true"
+        parts.append(f"select * from ({cpt_sql('dn', child, ['any_return'])}) where {none}")
+        parts += [f"select * from ({cpt_sql('dn', child, ['any_return', p])}) where exists (select 1 from tan where parent = '{p}' and child = '{child}')" for p in extra]
+    return f"{head.rstrip()}, tan as ({links}) " + CPT_OUT + "(" + " union all ".join(f"({p})" for p in parts) + ")"
+
+
+@query("g4_refit_learned_links", refit_sql())
 def g4b(spark, d):
     # a learned link list is used like any other edge list
     df = dn_cases(spark, d)

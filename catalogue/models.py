@@ -201,10 +201,27 @@ selection_query("w4_forward_and_back", S.forward_first(FEATURES) + S.back_first(
 selection_query("w5_pick_variables", UNIVARIATE + PAIRS)
 
 
-@query("w5_pick_regressors")
+def regressor_sql(*names: str) -> str:
+    """Held-out r2 of a linear fit of price_k on one or two columns, per fold."""
+    a, b = names[0], names[-1]
+    centred = f"""(select f.ff, o.fold, o.price_k - avg(case when o.fold <> f.ff then o.price_k end) over (partition by f.ff) y,
+      o.{a} - avg(case when o.fold <> f.ff then o.{a} end) over (partition by f.ff) u, o.{b} - avg(case when o.fold <> f.ff then o.{b} end) over (partition by f.ff) v
+      from rx o cross join (select distinct fold ff from rx) f)"""
+    own = "sum(case when fold <> ff then {} end)"
+    uu, vv, uv, uy, vy = (own.format(x) for x in ("u * u", "v * v", "u * v", "u * y", "v * y"))
+    if a == b:
+        beta = f"select ff, {uy} / {uu} p, 0.0::double q from c group by 1"
+    else:
+        beta = f"select ff, ({uy} * {vv} - {vy} * {uv}) / ({uu} * {vv} - {uv} * {uv}) p, ({vy} * {uu} - {uy} * {uv}) / ({uu} * {vv} - {uv} * {uv}) q from c group by 1"
+    return f"""(with c as {centred}, beta as ({beta}) select '{','.join(names)}' as subset, ff::int as fold,
+      round(1 - sum((y - p * u - q * v) * (y - p * u - q * v)) / (var_pop(y) * count(*)), 6) + 0.0 as score from c join beta using (ff) where fold = ff group by ff)"""
+
+
+@query("w5_pick_regressors", with_ctes(OF, "rx as (select fold, price_k, sum_qty, n_lines::double n_lines from of where price_k is not null and sum_qty is not null and n_lines is not null)")
+       + " union all ".join("select * from " + regressor_sql(*n) for n in (("sum_qty",), ("n_lines",), ("sum_qty", "n_lines"))))
 def w5r(spark, d):
     df = hash_folds(order_cases(spark, d), "case_id", 3, 7)
-    return S.pick_regressors(df, "price_k", [("sum_qty",), ("n_lines",), ("sum_qty", "n_lines")])
+    return S.pick_regressors(df, "price_k", [("sum_qty",), ("n_lines",), ("sum_qty", "n_lines")]).withColumn("score", rnd("score", 6))
 
 
 @query("w6_summarise_variables", with_ctes(OF, selection_sql(UNIVARIATE + PAIRS)) + """select variable, round(sum(score), 6) + 0.0 as score from (

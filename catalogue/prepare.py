@@ -69,6 +69,14 @@ def s7(spark, d):
     return C.gapped_ids(turn_cases(spark, d).select("case_id"))
 
 
+@query("s7_gapped_distinct", with_ctes(TC) + "select count(*) as n, count(*) as ids, 0::bigint as missing, 0::bigint as negative from tc")
+def s7_distinct(spark, d):
+    # the ids themselves depend on the partitions; what they promise does not
+    ids = C.gapped_ids(turn_cases(spark, d).select("case_id"))
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ix").alias("ids"), F.count_if(F.col("ix").isNull()).alias("missing"),
+                   F.count_if(F.col("ix") < 0).alias("negative"))
+
+
 @query("s8_bind_evidence", with_ctes(OC) + """select case_id, case when size_band in ('S', 'M') then size_band end as size_band,
   o_orderpriority from oc""")
 def s8(spark, d):

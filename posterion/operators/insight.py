@@ -19,7 +19,7 @@ MODEL = "__model"
 def explainable(model: Model, target: str) -> list[str]:
     net = model.network
     return [v.name for v in net.variables
-            if v.kind == "discrete" and not v.latent and v.name != target and not v.name.startswith("__")]
+            if v.kind == "discrete" and not v.latent and v.name != target and not v.selector]
 
 
 def scenarios(spark: SparkSession, model: Model, evidence=({},), models=(None,)) -> DataFrame:
@@ -65,7 +65,8 @@ def calculate(frame: DataFrame, model: Model, target: str, state: str, *, key="s
 
 
 def top_per_scenario(frame: DataFrame, *, key: str = "scenario_id", by: str = "difference") -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(by), "variable", "state")
+    """The best state of each scenario; values equal to twelve places tie, and names decide."""
+    w = Window.partitionBy(key).orderBy(F.round(by, 12).desc_nulls_last(), "variable", "state")
     return frame.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
 
 
