@@ -31,6 +31,15 @@ def staged(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 2_000_000    # rows of one or two numbers that may be sent to every executor
+
+
+def sized(narrow: DataFrame) -> DataFrame:
+    """A staged table of row numbers for the small side of a join: marked for broadcast when it is counted to be within
+    BROADCAST_IDS, so that the large side stays where it is; beyond, Spark joins both by shuffle."""
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_IDS else narrow
+
+
 def kept(df: DataFrame) -> DataFrame:
     """A small derived table that several passes read: kept on disk, recomputed if lost."""
     return df.persist(StorageLevel.DISK_ONLY)

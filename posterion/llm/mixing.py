@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from posterion.llm.common import count_words, fresh, staged
+from posterion.llm.common import count_words, fresh, sized, staged
 
 LIMIT = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -126,5 +126,6 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", source: str = "sourc
         F.col("row").alias(row), "size", F.explode("passes").alias("__pass"))
     plan = plan.filter(2 * F.col("__pass.words") >= F.col("size")).select(row, F.col("__pass.position").alias("__position"))
     place = fresh(docs, "__position_")
-    read = marked.join(plan.withColumnRenamed("__position", place), row)
+    # few rows of the plan come to the texts; else both are dealt by row
+    read = marked.join(sized(staged(plan.withColumnRenamed("__position", place), "plan")), row)
     return read.repartitionByRange(F.col(place), F.col(row)).sortWithinPartitions(place, row).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from posterion.llm import common
 from posterion.llm.common import fresh, renamed, staged
 
 SEED = 42
@@ -195,9 +196,10 @@ def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
     def close(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([resemblance(s.as_py(), t.as_py(), width) >= similarity for s, t in zip(a, b)], pa.bool_())
 
-    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)))
+    dealt = common.sized(pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS))))
     left = texts.join(dealt, F.col("row") == F.col("x")).select("x", "y", "salt", F.col("text").alias("a"))
-    right = texts.join(dealt.select("y", "salt").distinct(), F.col("row") == F.col("y")).select("y", "salt", F.col("text").alias("b"))
+    meets = common.sized(staged(dealt.select("y", "salt").distinct(), "meets"))
+    right = texts.join(meets, F.col("row") == F.col("y")).select("y", "salt", F.col("text").alias("b"))
     return left.join(right, ["y", "salt"]).filter(close("a", "b")).select("x", "y")
 
 
@@ -243,7 +245,8 @@ def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float
     prefix filter on rarest shingles, which loses no pair. So two alike nodes of one bucket
     end in one group, whichever links were compared.
 
-    Only texts of nodes in buckets move, once into a table of their own and then by pairs."""
+    Only texts of nodes in buckets are looked at again, in a table of their own. They get there without a shuffle
+    while their row numbers are few enough to broadcast (`common.sized`); beyond, all texts are dealt once."""
     # keys and rows alone are dealt to find the buckets; what describes a node follows only into buckets of several
     every = nodes.select(F.explode("keys").alias("key"), F.col("first.c").alias("row"))
     many = every.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
@@ -255,7 +258,7 @@ def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float
     met = met.join(known.select(F.col("row").alias("h"), F.col("n").alias("hn"), F.col("sketch").alias("hs")), "h")
     likely = sized(F.col("n"), F.col("hn"), similarity) & (agreeing(F.col("sketch"), F.col("hs")) >= int(AGREE * len(MIX)))
     met = staged(met.select("key", "row", "many", "h", likely.alias("likely")), "met")
-    busy = staged(texts.join(rows, "row", "left_semi"), "busy")
+    busy = staged(texts.join(common.sized(rows), "row", "left_semi"), "busy")
     pairs = staged(met.filter("row <> h and likely").select(F.col("row").alias("x"), F.col("h").alias("y")).distinct(), "pairs")
     linked = staged(_alike(pairs, busy, width, similarity), "alike")
 
@@ -290,5 +293,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     nodes = staged(rows.groupBy("digest").agg(F.min("s").alias("s")).select("s.*"), "nodes")
     texts = marked.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
     winners = nodes.join(alike(nodes, texts, width, similarity), F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
-    winners = staged(winners.select(F.col("first.c").alias(row)), "winners")
-    return marked.join(winners, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # those that go are fewer than those that stay
+    losers = marked.select(row).join(winners.select(F.col("first.c").alias(row)), row, "left_anti")
+    return marked.join(common.sized(staged(losers, "losers")), row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
