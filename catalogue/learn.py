@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import combinations
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
 from catalogue.tables import (DC, DN, DN1, DN_CPT, DN_FAMILIES, EC, EM, GR1, MG1, MX, MX1, NB, NB1, NB_LL, OC, TC, band_sql,
                               cpt_sql, dn_cases, doc_cases, em_ctes, emb_cases, event_cases, fit_mx1, labelled, order_cases,
-                              quartile_sql, query, rnd, turn_cases, with_ctes)
+                              quartile_sql, query, rnd, table, turn_cases, with_ctes)
 from posterion.operators import bins as B
 from posterion.operators.fit import cpt_frame, discover, fit, moment_frame, statistics, training_metrics
 from posterion.operators.mixture import fit_incomplete, fit_mixture
@@ -20,6 +21,7 @@ from posterion.operators.validate import hash_folds
 from posterion.plans.templates import (from_links, independent, mixture, move_node, naive_bayes, with_edges,
                                        with_fully_connected_nodes, with_latent_node, with_multivariate_nodes, with_tree_structure)
 
+FOLD_SQL = "(('0x' || substr(md5(cast(case_id as varchar) || ':7'), 1, 8))::ubigint % 3)::int"
 CPT_OUT = "select node, parent_key, state, n, round(p, 6) + 0.0 as p from "
 
 
@@ -133,16 +135,21 @@ def p4(spark, d):
     return joint_out(labelled(order_cases(spark, d)), MG1)
 
 
-@query("p17_multivariate_nodes", with_ctes(EM) + """select 'label=' || label as parent_key, count(*) as n, round(avg(e1), 6) + 0.0 as mean_1, round(avg(e2), 6) + 0.0 as mean_2,
-  round(avg(e3), 6) + 0.0 as mean_3, round(var_pop(e1), 6) + 0.0 as var_1, round(covar_pop(e1, e2), 6) + 0.0 as cov_12,
-  round(covar_pop(e1, e3), 6) + 0.0 as cov_13, round(covar_pop(e2, e3), 6) + 0.0 as cov_23 from em group by label""")
+@query("p17_multivariate_nodes", """with e as (select vec_id, label, generate_subscripts(embedding, 1) i, unnest(embedding)::double x from embeddings)
+  select 'label=' || a.label as parent_key, a.i::int as i, b.i::int as j, count(*) as n, round(avg(a.x), 6) + 0.0 as mean, round(covar_pop(a.x, b.x), 6) + 0.0 as cov
+  from e a join e b on b.vec_id = a.vec_id and b.i >= a.i group by all""")
 def p17(spark, d):
-    df = emb_cases(spark, d)
-    net = with_multivariate_nodes(naive_bayes("label", continuous=["e1", "e2", "e3"]), [["e1", "e2", "e3"]])
+    # the whole vector is one node
+    raw = table(spark, d, "embeddings")
+    size = raw.agg(F.max(F.size("embedding"))).head()[0]
+    names = [f"e{i + 1}" for i in range(size)]
+    df = raw.select("label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
+    net = with_multivariate_nodes(naive_bayes("label", continuous=names), [names])
     net, centres = discover(df, net)
     g = moment_frame(statistics(df, net, centres), net, centres)
-    return g.select("parent_key", "n", *[rnd(at("mean", i), 6).alias(f"mean_{i + 1}") for i in range(3)], rnd(at("cov", 0), 6).alias("var_1"),
-                    rnd(at("cov", 1), 6).alias("cov_12"), rnd(at("cov", 2), 6).alias("cov_13"), rnd(at("cov", 5), 6).alias("cov_23"))
+    cells = g.select("parent_key", "n", "mean", F.posexplode("cov").alias("at", "cov"))
+    i, j = F.floor(F.col("at") / size).cast("int"), (F.col("at") % size).cast("int")
+    return cells.filter(i <= j).select("parent_key", (i + 1).alias("i"), (j + 1).alias("j"), "n", rnd(F.get("mean", i), 6).alias("mean"), rnd("cov", 6).alias("cov"))
 
 
 def mixture_rows(spark, model, hub="Cluster"):
@@ -241,11 +248,12 @@ def p8b(spark, d):
 
 @query("p9_missing_families", with_ctes(DN) + """select 'any_return' as node, 'qty_band=' || q || '|size_band=' || s as parent_key from
   (select distinct qty_band q from dn where qty_band is not null), (select distinct size_band s from dn where size_band is not null)
-  where not exists (select 1 from dn where any_return is not null and size_band <> 'M' and qty_band = q and size_band = s)""")
+  where not exists (select 1 from dn where any_return is not null and qty_band = q and size_band = s)""")
 def p9(spark, d):
     df = dn_cases(spark, d)
     network, centres = discover(df, DN1)
-    cpt = cpt_frame(statistics(df.filter("size_band is null or size_band <> 'M'"), network, centres))
+    # small orders never reach the upper quantity bands: families that no case has
+    cpt = cpt_frame(statistics(df, network, centres))
     return missing_families(cpt, network, ["any_return"])
 
 
@@ -334,7 +342,31 @@ def g3(spark, d):
     return links_frame(df, learn_tan(df, "any_return", ["size_band", "o_orderpriority", "qty_band"]))
 
 
-@query("g4_greedy_structure")
+def held_out_sql(child: str, parents) -> str:
+    """Held-out loglikelihood of one family over the folds, counts smoothed by 1."""
+    names = [child, *parents]
+    row = f"partition by {', '.join(parents)}" if parents else ""
+    own = f"partition by {', '.join([*parents, 'fold'])}"
+    return f"""select '{child}' as child, '{','.join(sorted(parents))}' as parents, sum(n * ln((sum_cell - n + 1) / (sum_row - sum_own + (select count(distinct {child}) from gf)))) as s from (
+      select n, sum(n) over (partition by {', '.join(names)}) sum_cell, sum(n) over ({row}) sum_row, sum(n) over ({own}) sum_own
+      from (select {', '.join(names)}, fold, count(*)::double n from gf where {' and '.join(x + ' is not null' for x in names)} group by all))"""
+
+
+def greedy_structure_sql() -> str:
+    """Links into each column from those before it, by falling mutual information, kept while they raise the score."""
+    out = [f"gf as (select *, {FOLD_SQL} as fold from dn)",
+           "mi as (" + " union all ".join(f"({mi_sql('gf', a, b)})" for a, b in combinations(G2_COLUMNS, 2)) + ")",
+           "ranked as (select a, b, row_number() over (partition by b order by mi desc, a) r from mi)",
+           "fs as materialized (" + " union all ".join(f"({held_out_sql(c, ps)})" for i, c in enumerate(G2_COLUMNS) for n in range(i + 1) for ps in combinations(G2_COLUMNS[:i], n)) + ")",
+           "st0 as (select unnest([" + ", ".join(f"'{c}'" for c in G2_COLUMNS) + "]) child, []::varchar[] ps)"]
+    score = lambda ps: f"(select s from fs where fs.child = st.child and fs.parents = array_to_string(list_sort({ps}), ','))"      # noqa: E731
+    for k in range(1, len(G2_COLUMNS)):
+        out.append(f"""st{k} as (select st.child, case when a is not null and {score('list_append(ps, a)')} > {score('ps')} + 1e-9 then list_append(ps, a) else ps end as ps
+          from st{k - 1} st left join ranked on b = st.child and r = {k})""")
+    return with_ctes(DN, *out) + f"select unnest(ps) as parent, child from st{len(G2_COLUMNS) - 1}"
+
+
+@query("g4_greedy_structure", greedy_structure_sql())
 def g4(spark, d):
     df = hash_folds(dn_cases(spark, d), "case_id", 3, 7, name="fold")
     return links_frame(df, learn_greedy(df, G2_COLUMNS, fold="fold", k=3))

@@ -114,19 +114,13 @@ def w8t(spark, d):
 GRID = """grid as (select s.size_band, q.qty_band, r.any_return from (select distinct size_band from dn where size_band is not null) s
   cross join (select distinct qty_band from dn where qty_band is not null) q cross join (select distinct any_return from dn where any_return is not null) r),
   pm as (select size_band, qty_band, any_return, count(*)::double / sum(count(*)) over (partition by size_band, qty_band) p from dn
-    where size_band <> 'M' and any_return is not null group by 1, 2, 3)"""
-
-
-def without_middle(spark, d):
-    df = dn_cases(spark, d)
-    network, centres = discover(df, DN1)
-    return network, cpt_frame(statistics(df.filter("size_band is null or size_band <> 'M'"), network, centres))
+    where any_return is not null and size_band is not null and qty_band is not null group by 1, 2, 3)"""
 
 
 @query("w9_complete_uniform", with_ctes(DN, GRID) + """select 'any_return' as node, 'qty_band=' || g.qty_band || '|size_band=' || g.size_band as parent_key, cast(g.any_return as varchar) as state,
   round(case when max(p) over (partition by g.size_band, g.qty_band) is null then 0.5 else coalesce(p, 0) end, 6) + 0.0 as p from grid g left join pm using (size_band, qty_band, any_return)""")
 def w9(spark, d):
-    network, cpt = without_middle(spark, d)
+    _, network, cpt = dn_tables(spark, d)         # some families have no case: small orders of large quantity
     return W.complete(cpt, network, ["any_return"]).select("node", "parent_key", "state", rnd("p", 6).alias("p"))
 
 
@@ -134,7 +128,7 @@ def w9(spark, d):
   round(case when g.any_return = 1 then 1 - sum(case when g.any_return = 0 then coalesce(p, 0) else 0 end) over (partition by g.size_band, g.qty_band) else coalesce(p, 0) end, 6) + 0.0 as p
   from grid g left join pm using (size_band, qty_band, any_return)""")
 def w9r(spark, d):
-    network, cpt = without_middle(spark, d)
+    _, network, cpt = dn_tables(spark, d)         # some families have no case: small orders of large quantity
     return W.complete_with_remainder(cpt, network, "any_return").select("node", "parent_key", "state", rnd("p", 6).alias("p"))
 
 

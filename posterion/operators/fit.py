@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from math import prod
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posterion.functions.scalars import as_double, key_text, quoted, state_index, state_text
@@ -81,7 +83,8 @@ def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,
 
     Narrow networks take one aggregation. In wide ones the moment sums would be computed for
     every discrete family too, and one aggregate with thousands of sums would not compile, so
-    counts and chunks of Gaussian groups are aggregated apart.
+    counts and chunks of Gaussian groups are aggregated apart; a group that is too wide for one
+    aggregate is summed in numpy per Arrow batch.
     """
     discrete = network.names("discrete")
     groups = [g for g in network.nodes() if network[g[0]].kind == "continuous"]
@@ -89,6 +92,8 @@ def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,
             for v in [network.continuous_parents(g[0]) + list(g)]}
     if len(discrete) * sum(size.values()) <= MOMENT_WORK and sum(size.values()) <= MOMENT_SUMS:
         return _statistics(df, network, centres, weight, discrete, groups)
+    wide = [g for g in groups if size[g] > MOMENT_SUMS]
+    groups = [g for g in groups if g not in wide]
     chunks, current = [], []
     for g in groups:
         if current and sum(size[c] for c in current) + size[g] > MOMENT_SUMS:
@@ -96,6 +101,7 @@ def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,
             current = []
         current.append(g)
     parts = [_statistics(df, network, centres, weight, [], c) for c in [*chunks, current] if c]
+    parts += [_wide_moments(df, network, centres, weight, g) for g in wide]
     if discrete:
         parts.insert(0, _statistics(df, network, centres, weight, discrete, []))
     result = parts[0]
@@ -104,6 +110,59 @@ def statistics(df: DataFrame, network: Network, centres: dict[str, float], *,
     return result
 
 
+def _wide_moments(df: DataFrame, network: Network, centres, weight, group) -> DataFrame:
+    """Moment cells of one wide Gaussian group: each task keeps one array a parent combination, and these are added up
+    place by place."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    parents, vector = network.discrete_parents(group[0]), network.continuous_parents(group[0]) + list(group)
+    w = F.lit(1.0) if weight is None else (quoted(weight) if isinstance(weight, str) else weight).cast("double")
+    text = {p: state_text(quoted(p), fields[p]) for p in parents}
+    ok = F.lit(True)
+    for p in parents:
+        ok = ok & state_index(quoted(p), network[p].states, fields[p]).isNotNull()
+    x = F.array(*[as_double(quoted(c), fields[c]) - F.lit(float(centres.get(c, 0.0))) for c in vector])
+    key = F.array(*text.values()) if parents else F.array().cast("array<string>")
+    rows = df.select(key.alias("parents"), w.alias("w"), x.alias("x")).filter(ok & (F.col("w") > 0))
+    d = len(vector)
+
+    def partial(batches):
+        found: dict = {}
+        for b in batches:
+            keys = list(map(tuple, b.column(0).to_pylist()))
+            wt = b.column(1).to_numpy(zero_copy_only=False)
+            data = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            here = ~np.isnan(data).any(axis=1)               # a gap leaves the row out
+            for k in set(keys):
+                r = here & np.array([key == k for key in keys])
+                if not r.any():
+                    continue
+                weighted = data[r] * wt[r, None]
+                sums = np.concatenate([[wt[r].sum(), r.sum()], weighted.sum(axis=0), (weighted.T @ data[r]).ravel()])
+                found[k] = found[k] + sums if k in found else sums
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(map(list, found), pa.list_(pa.string())), pa.array(list(found.values()), pa.list_(pa.float64()))],
+                                             names=["parents", "sums"])
+
+    parts = rows.mapInArrow(partial, "parents array<string>, sums array<double>").select("parents", F.posexplode("sums").alias("at", "v"))
+    cells = parts.groupBy("parents", "at").agg(F.sum("v").alias("v")).groupBy("parents").agg(F.collect_list(F.struct("at", "v")).alias("s"))
+
+    def ordered(batches):            # plain columns: later expressions do not repeat the sorting
+        for b in batches:
+            flat = []
+            for row in b.column(1).to_pylist():
+                s = np.zeros(2 + d + d * d)
+                s[[v["at"] for v in row]] = [v["v"] for v in row]
+                flat.append(s)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[0] for s in flat]), pa.array([int(s[1]) for s in flat], pa.int64()),
+                                              pa.array([s[2:2 + d] for s in flat], pa.list_(pa.float64())), pa.array([s[2 + d:] for s in flat], pa.list_(pa.float64()))],
+                                             names=["parents", "w", "rows", "sums", "cross"])
+
+    cells = cells.mapInArrow(ordered, "parents array<string>, w double, rows bigint, sums array<double>, cross array<double>")
+    named = {p: F.get("parents", F.lit(i)) for i, p in enumerate(parents)}
+    return cells.select(F.lit(group[0]).alias("node"), F.lit("gauss").alias("kind"), "parents", _parent_key(parents, named).alias("parent_key"),
+                        F.lit(None).cast("string").alias("state"), "w", "rows", "sums", "cross")
+
+
 def _statistics(df: DataFrame, network: Network, centres, weight, discrete, groups) -> DataFrame:
     fields = {f.name: f.dataType for f in df.schema.fields}
     w = F.lit(1.0) if weight is None else (quoted(weight) if isinstance(weight, str) else weight).cast("double")

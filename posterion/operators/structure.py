@@ -244,10 +244,11 @@ def learn_tan(df: DataFrame, target: str, features) -> list[tuple[str, str]]:
     return links
 
 
-def learn_greedy(df: DataFrame, columns, *, fold: str, k: int, max_parents: int = 2, candidates: int = 30,
+def learn_greedy(df: DataFrame, columns, *, fold: str, k: int, max_parents: int | None = None, candidates: int = 30,
                  alpha: float = 1.0) -> list[tuple[str, str]]:
     """Links in order of pairwise mutual information, each kept while it raises the held-out
-    loglikelihood of its child over k folds. The direction follows column order.
+    loglikelihood of its child over k folds. The direction follows column order. The held-out
+    loglikelihood alone ends the growth of a family; `max_parents` is a limit the caller may state.
 
     One counting job scores all candidates of a round against the present parents.
     """
@@ -263,7 +264,7 @@ def learn_greedy(df: DataFrame, columns, *, fold: str, k: int, max_parents: int
         wave = list(round_)
         while wave:
             trials = {(a, b): tuple(sorted(parents[b] + (a,))) for a, b in wave
-                      if len(parents[b]) < max_parents and not would_cycle([(p, c) for c in columns for p in parents[c]], a, b)}
+                      if (max_parents is None or len(parents[b]) < max_parents) and not would_cycle([(p, c) for c in columns for p in parents[c]], a, b)}
             if not trials:
                 break
             # a later link into a child already extended in this wave is tested again next wave
