@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from posterion.functions.scalars import INTEGRAL, hash_bits, interval_index, lookup, quoted
+from posterion.functions.scalars import INTEGRAL, NUMERIC, hash_bits, interval_index, lookup, quoted
 from posterion.sources.storage import sized
 
 EXACT_VALUES = 500_000       # distinct values the built-in exact percentile may hold
@@ -105,10 +105,13 @@ def near_equal_groups(df: DataFrame, value: str, id_col: str, k: int, *, name: s
 
     Only the k-1 boundary rows are located (exactly); each row then compares itself with
     them. No sort, no shuffle, and ties of any size are split by id. Integral ids are exact in
-    all 64 bits; other numeric ids count as doubles.
+    all 64 bits; other numeric ids count as doubles; ids that are no numbers come in the order of
+    their 64-bit hash.
     """
     v, ident = quoted(value).cast("double"), quoted(id_col)
     whole = isinstance(df.schema[id_col].dataType, INTEGRAL)
+    if not isinstance(df.schema[id_col].dataType, NUMERIC):
+        ident, whole = F.xxhash64(ident), True
     n = df.agg(F.count(v)).head()[0]
     starts, at = [], 0
     for size in group_sizes(n, k)[:-1]:
@@ -196,7 +199,9 @@ def dense_ids(df: DataFrame, order_col: str, *, name: str = "ix", ranges: int =
     width = [max(float(b - a), 1e-300) for a, b in zip(starts, ends)]
     ranged = df.withColumn("__c", interval_index(v, cuts))
     part = F.floor((v - lookup(starts, F.col("__c"))) / lookup(width, F.col("__c")) * parts)
-    last = F.lit(len(starts) * parts) + F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(parts)).cast("int")
+    # maps have no hash
+    hashed = [quoted(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    last = F.lit(len(starts) * parts) + F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int")
     base = ranged.withColumn("__b", F.when(v.isNull(), last).otherwise(F.col("__c") * parts + F.least(F.lit(parts - 1), part).cast("int")))
     sizes = base.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,23 @@ def test_cases(spark, tmp_path):
     assert C.stage(df, path, mode="append").count() == 4
     assert C.stage(df, path, mode="skip").count() == 4
     assert C.stage(df, path).count() == 2
+
+
+def test_text_ids_in_near_equal_groups(spark):
+    from posterion.operators.ranking import near_equal_groups
+    df = spark.createDataFrame([(f"id{i}", float(i % 3)) for i in range(101)], "id string, v double")
+    got = near_equal_groups(df, "v", "id", 4, name="g").collect()
+    assert sorted(np.bincount([r.g for r in got])[1:]) == [25, 25, 25, 26]
+    assert all(a.v <= b.v for a in got for b in got if a.g < b.g)
+    assert got == near_equal_groups(df, "v", "id", 4, name="g").collect()
+
+
+def test_dense_ids_with_a_map_column(spark):
+    from posterion.operators.ranking import dense_ids
+    df = spark.createDataFrame([(i if i % 4 else None, {"a": i}) for i in range(40)], "id long, m map<string,int>")
+    got = dense_ids(df, "id").collect()
+    assert sorted(r.ix for r in got) == list(range(1, 41))
+    known = [r for r in got if r.id is not None]
+    assert [r.ix for r in sorted(known, key=lambda r: r.id)] == list(range(1, 31))
+    only = spark.createDataFrame([({"a": 1}, None)] * 3, "m map<string,int>, id long")
+    assert sorted(r.ix for r in dense_ids(only, "id").collect()) == [1, 2, 3]
