@@ -101,8 +101,8 @@ def _ancestral(model: Model):
         done |= set(group)
         found = [model.conditional(group[0], c) for c in model.combos(parents)]
         d, k = len(group), len(linked)
-        mean = np.array([f[0] if f else np.full(d, math.nan) for f in found]).reshape(-1, d)
-        links = np.array([f[1] if f else np.zeros((d, k)) for f in found]).reshape(-1, d, k)
+        mean = np.array([f[0] if f else np.full(d, math.nan) for f in found]).reshape(len(found), d)
+        links = np.array([f[1] if f else np.zeros((d, k)) for f in found]).reshape(len(found), d, k)
         parts.append(Drawn(group, parents, linked, mean, links, np.array([_lower(f[2]) if f else np.zeros((d, d)) for f in found])))
     return discrete, parts
 
