@@ -113,8 +113,9 @@ def cross_validate(df: DataFrame, templates: dict[str, Network], target: str, *,
                    alpha: float = 0.0, fold: str = FOLD) -> DataFrame:
     """`fold, template, accuracy` of the held-out most likely state.
 
-    Columns with a single state are left out. Per template: one scan for states, one to fit all
-    folds, one to score.
+    Columns with a single state are left out; a column without children that has a single state in
+    a fold's training part is left out of that fold. Per template: one scan for states, one to fit
+    all folds, one to score.
     """
     result = None
     for label, network in templates.items():
@@ -122,6 +123,9 @@ def cross_validate(df: DataFrame, templates: dict[str, Network], target: str, *,
         found, centres = discover(rows, network)
         kept = found.without([n for n in found.observed("discrete") if n != target and len(found[n].states) <= 1])
         model = fit_folds(rows, kept, k, weight=weight, alpha=alpha, fold=fold, known=(kept, centres))
+        for n in kept.observed("discrete"):
+            if n != target and not kept.children(n):
+                _leave_out_where_single(model, n, fold)
         scored = score(df, model, [MostLikelyState(target, suffix="__predicted")])
         right = (quoted(f"{target}__predicted") == quoted(target).cast("string")).cast("double")
         part = scored.groupBy(quoted(fold).alias("fold")).agg(F.avg(right).alias("accuracy")).select(
@@ -130,6 +134,17 @@ def cross_validate(df: DataFrame, templates: dict[str, Network], target: str, *,
     return result
 
 
+def _leave_out_where_single(model: Model, node: str, fold: str) -> None:
+    """Uniform families for the folds in whose training part the node has one state: it then says nothing."""
+    at, states = model.network.parents(node).index(fold), model.network[node].states
+    seen: dict[str, set] = {}
+    for key, row in model.tables[node].items():
+        seen.setdefault(key[at], set()).update(s for s, p in row.items() if p > 0)
+    for key in model.tables[node]:
+        if len(seen[key[at]]) <= 1:
+            model.tables[node][key] = dict.fromkeys(states, 1.0 / len(states))
+
+
 def held_out_loglikelihood(df: DataFrame, templates: dict[str, Network], *, id_col: str, k: int = 3, target: str | None = None,
                            weight: str | None = None, fold: str = FOLD) -> DataFrame:
     """`id, label, loglikelihood` of every held-out case; infinities are null. Only

@@ -138,3 +138,17 @@ def test_held_out_loglikelihood_has_no_nulls_under_gaps(spark):
             if found:
                 w, top = weights(found)
                 assert got[r.id] == pytest.approx(math.log(w.sum()) + top, abs=1e-6)
+
+
+def test_columns_single_in_a_training_part_say_nothing_there(spark):
+    """A column whose other state stands in one fold only does not spoil that fold's predictions."""
+    from posterion.operators.validate import cross_validate
+    from posterion.plans.templates import naive_bayes
+    rows = []
+    for i in range(240):
+        f, y = i % 3, (i // 3) % 2
+        rows.append((i, f, f"y{y}", f"a{y if i % 10 else 1 - y}", "only" if f else "rare"))      # `rare` in fold 0 alone
+    df = spark.createDataFrame(rows, "id int, __fold int, y string, a string, c string")
+    with_c = {r.fold: r.accuracy for r in cross_validate(df, {"t": naive_bayes("y", discrete=["a", "c"])}, "y").collect()}
+    without = {r.fold: r.accuracy for r in cross_validate(df, {"t": naive_bayes("y", discrete=["a"])}, "y").collect()}
+    assert with_c[0] == pytest.approx(without[0]) and with_c[0] > .8
