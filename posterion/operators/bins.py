@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from posterion.functions.scalars import (NUMERIC, as_double, interval_index, lookup, quoted, state_text)
 from posterion.operators.ranking import quantiles
 from posterion.plans.network import Network, Variable
-from posterion.sources.storage import BROADCAST_ROWS
+from posterion.sources.storage import BROADCAST_BYTES
 
 MAX_STATES = 100_000         # values a discrete column may have
 DIRECT_BINS = 128            # bins written as one comparison tree
@@ -195,7 +195,7 @@ def assign(df: DataFrame, column: str, bins: list[Interval], *, name: str) -> Da
     keyed = df.withColumn("__v", v).withColumn("__k", F.when(F.col("__v").isNotNull(), inside))
     ok = (F.col("__k") == F.col("__g")) & ((F.col("__v") > F.col("__lo")) | (F.col("__lc") & (F.col("__v") == F.col("__lo")))) & (
         (F.col("__v") < F.col("__hi")) | (F.col("__hc") & (F.col("__v") == F.col("__hi"))))
-    small = F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+    small = F.broadcast(table) if 64 * len(rows) <= BROADCAST_BYTES else table
     return keyed.join(small, ok, "left").select(*[quoted(c) for c in df.columns], F.col("__label").alias(name))
 
 

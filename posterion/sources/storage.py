@@ -36,11 +36,19 @@ def reused(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-BROADCAST_ROWS = 200_000     # rows of a narrow table that may be sent to every executor
+BROADCAST_BYTES = 16 << 20   # of a derived table that may be sent to every executor
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """A derived table for the small side of a join: computed once, counted, and marked for
-    broadcast only when the count is within the bound. Otherwise Spark joins it by shuffle."""
+    """A derived table for the small side of a join: computed once, measured, and marked for
+    broadcast only when its rows take no more than BROADCAST_BYTES. Otherwise Spark joins it by shuffle."""
     kept = reused(df)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    row = F.lit(16)
+    for f in kept.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            row = row + F.coalesce(F.octet_length(c), F.lit(0))
+        else:
+            row = row + (8 * F.size(c) if kind.startswith(("array<", "map<")) else F.lit(8))
+    return F.broadcast(kept) if (kept.agg(F.sum(row)).head()[0] or 0) <= BROADCAST_BYTES else kept
