@@ -20,17 +20,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posterion.llm import common
 from posterion.llm.common import fresh, renamed, staged
 
 SEED = 42
 SEGMENT = 32
-BAND, BANDS = 4, 16         # least hashes a key, and keys a text
-MIX = np.random.default_rng(SEED).integers(0, 1 << 64, BAND * BANDS, np.uint64) | np.uint64(1)
+# segments of a wide fingerprint by their bits: so many that a pair at 0.8, where a bit differs with probability 0.15, meets in one
+# of them with probability 0.9999
+PLACES = {20: 29, 21: 33, 22: 39, 23: 45, 24: 51, 25: 59, 26: 68, 27: 80, 28: 92, 29: 106, 30: 124, 31: 142}
+BALL, SHORT = 4, 30         # bits of a segment that a ball turns over; three times as many for texts of at most SHORT shingles
+CHECK, APART = 3, 0.35      # words of the fingerprint that pairs are checked by, and the share of their bits beyond which no text is read
+MIX = np.random.default_rng(SEED).integers(0, 1 << 64, max(w * n for w, n in PLACES.items()) // 64 + 1 + CHECK, np.uint64)
+PAIRED = 8                  # rows of a bucket up to which all its pairs are checked
 SALTS = 256
-AGREE = 0.6                 # share of equal sketch places below which texts are not compared: at 0.8 missed by 1 in 10,000
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -138,44 +142,74 @@ def resemblance(a: str | None, b: str | None, width: int = 5) -> float:
     return len(x & y) / len(x | y)
 
 
-def least_hashes(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each mixed hash over all shingles."""
-    least = np.full(len(MIX), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 4096):
-        part = hashes[at:at + 4096]
-        np.minimum(least, ((part[None, :] ^ MIX[:, None]) * MIX[::-1, None]).min(axis=1), out=least)
-    return least
-
-
-def band_keys(least: np.ndarray) -> list[int]:
-    """One signed key for each band of BAND least values."""
-    return [xxhash.xxh64_intdigest(least[k:k + BAND].tobytes(), k) - (1 << 63) for k in range(0, len(MIX), BAND)]
-
-
-def sketch(least: np.ndarray) -> list[int]:
-    """The low byte of each least value (its high ones are mostly zero), eight to a long."""
-    return least.astype(np.uint8).view(np.int64).tolist()
-
-
-def _signed(docs: DataFrame, name: str, text: str, width: int) -> DataFrame:
-    """The table with struct(digest of the words, n distinct shingles, band keys, sketch) in a new column."""
-    kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
-
-    @F.arrow_udf("struct<digest:binary,n:int,keys:array<bigint>,sketch:array<bigint>>")
+def layout(rows: int) -> tuple[int, int]:
+    """(segments, bits of a segment) for so many texts: a segment has six bits more than their number, so that most
+    buckets of unlike texts hold one."""
+    width = min(max(rows.bit_length() + 5, min(PLACES)), max(PLACES))
+    return PLACES[width], width
+
+
+def bit_counts(hashes: np.ndarray, words: int) -> np.ndarray:
+    """How many shingles set each bit of a fingerprint of so many 64-bit words, each a mix of the shingle's hash."""
+    ones = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 255):           # so many fit a byte
+        x = hashes[at:at + 255, None] ^ MIX[:words]
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(factor)
+        x ^= x >> np.uint64(31)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return ones
+
+
+def wide_print(hashes: np.ndarray, segments: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The wide fingerprint of distinct shingles: its segments and its CHECK words.
+
+    The low half of a segment's number are its bits, the high half marks those whose votes were closest."""
+    n = len(hashes)
+    ones = bit_counts(hashes, -(-segments * width // 64) + CHECK)
+    votes = 2 * ones - n
+    place = np.int64(1) << np.arange(width)
+    part = votes[:segments * width].reshape(segments, width)
+    close = np.argsort(np.abs(part), axis=1, kind="stable")[:, :BALL if n > SHORT else 3 * BALL]
+    return (part > 0) @ place | place[close].sum(axis=1) << 32, np.packbits(votes[-64 * CHECK:] > 0, bitorder="little").view(np.int64)
+
+
+def ball(prints: pa.Array) -> pa.Array:
+    """The keys of each row's segments: a segment's number and its bits, as they are and with one marked bit turned over."""
+    flat, lengths = prints.flatten().to_numpy(zero_copy_only=False).astype(np.int64), prints.value_lengths().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    own = (np.arange(len(flat)) - np.repeat(starts[:-1], lengths)) << 32 | flat & 0xFFFFFFFF
+    turned = np.concatenate([[0], np.int64(1) << np.arange(31)])
+    chosen = np.concatenate([np.ones((len(flat), 1), bool), (flat[:, None] >> np.arange(32, 63) & 1).astype(bool)], axis=1)
+    cell, which = np.nonzero(chosen)
+    ends = np.concatenate([[0], np.cumsum(chosen.sum(axis=1))])
+    return pa.ListArray.from_arrays(pa.array(ends[starts], pa.int32()), pa.array(own[cell] ^ turned[which], pa.int64()))
+
+
+def _signed(docs: DataFrame, name: str, text: str, width: int, segments: int, bits: int) -> DataFrame:
+    """The table with struct(digest of the words, n distinct shingles, segments of the wide fingerprint, its check words) in a new column."""
+    kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("print", pa.list_(pa.int64())), ("check", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("struct<digest:binary,n:int,print:array<bigint>,check:array<bigint>>")
     def of(texts: pa.Array) -> pa.Array:
         rows = []
         for t in texts:
             words = _words(t.as_py())
             hashes = np.unique(_hashes(words, width)) if words else np.empty(0, np.uint64)
-            least = least_hashes(hashes)
-            rows.append({"digest": xxhash.xxh3_128_digest(b" ".join(words)), "n": len(hashes), "keys": band_keys(least) if words else [],
-                         "sketch": sketch(least)})
+            own, check = wide_print(hashes, segments, bits) if words else ([], [])
+            rows.append({"digest": xxhash.xxh3_128_digest(b" ".join(words)), "n": len(hashes), "print": own, "check": check})
         return pa.array(rows, kind)
 
     return docs.withColumn(name, of(F.col(f"`{text}`")))
 
 
-def agreeing(a: Column, b: Column) -> Column:
+def sketch(values: np.ndarray) -> list[int]:
+    """The low byte of each value, eight to a long."""
+    return values.astype(np.uint8).view(np.int64).tolist()
+
+
+def agreeing(a: Column, b: Column, places: int = 64) -> Column:
     """How many of the bytes of two sketches are equal."""
     def unequal(i: int) -> Column:
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
@@ -183,9 +217,15 @@ def agreeing(a: Column, b: Column) -> Column:
             x = x.bitwiseOR(F.shiftrightunsigned(x, step))
         return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
     total = unequal(0)
-    for i in range(1, len(MIX) // 8):
+    for i in range(1, places // 8):
         total = total + unequal(i)
-    return F.lit(len(MIX)) - total
+    return F.lit(places) - total
+
+
+def bits_apart(a: Column, b: Column) -> Column:
+    """How many bits of the check words differ."""
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, CHECK)),
+               F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -236,34 +276,41 @@ def sized(a: Column, b: Column, similarity: float) -> Column:
 
 
 def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The groups of nodes (first struct(a, b, c: row), n, keys, sketch): node, root of all rows that have a link.
-
-    Nodes with a key in common meet in its bucket, where the first node is compared with all others;
-    so a large group of near copies costs one comparison a node. Sketches that agree in too few places
-    skip the comparison of texts. The links so far make groups. In a bucket that still holds several,
-    the rows outside its largest one look for partners in the other groups of their buckets, by the
-    prefix filter on rarest shingles, which loses no pair. So two alike nodes of one bucket
-    end in one group, whichever links were compared.
-
-    Only texts of nodes in buckets are looked at again, in a table of their own. They get there without a shuffle
-    while their row numbers are few enough to broadcast (`common.sized`); beyond, all texts are dealt once."""
-    # keys and rows alone are dealt to find the buckets; what describes a node follows only into buckets of several
-    every = nodes.select(F.explode("keys").alias("key"), F.col("first.c").alias("row"))
-    many = every.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
-    crowded = staged(every.join(many, "key"), "crowded")
-    rows = staged(crowded.select("row").distinct(), "rows")
-    known = staged(nodes.withColumn("row", F.col("first.c")).join(rows, "row").select("row", "first", "n", "sketch"), "known")
-    heads = crowded.join(known.select("row", "first"), "row").groupBy("key").agg(F.min("first")["c"].alias("h"))
-    met = crowded.join(heads, "key").join(known.select("row", "n", "sketch"), "row")
-    met = met.join(known.select(F.col("row").alias("h"), F.col("n").alias("hn"), F.col("sketch").alias("hs")), "h")
-    likely = sized(F.col("n"), F.col("hn"), similarity) & (agreeing(F.col("sketch"), F.col("hs")) >= int(AGREE * len(MIX)))
-    met = staged(met.select("key", "row", "many", "h", likely.alias("likely")), "met")
+    """The groups of nodes (first struct(a, b, c: row), n, print, check): node, root of all rows that have a link.
+
+    Multi-index hashing of wide fingerprints: each node is entered under its segments and under the balls around
+    them, so two nodes meet where they are at most two bits apart by bits that were close. In a bucket of up to PAIRED
+    nodes all are compared; in a larger one the first with all others, so a large group of near copies costs one
+    comparison a node. Pairs whose check words are far apart skip the comparison of texts. The links so far make
+    groups. In a large bucket that still holds several, the rows outside its largest one look for partners in the
+    other groups of their buckets, by the prefix filter on rarest shingles, which loses no pair. So two alike nodes
+    of one bucket end in one group, whichever links were compared.
+
+    Only texts of pairs that passed, and of large buckets, are looked at again, in a table of their own. They get there without a
+    shuffle while their row numbers are few enough to broadcast (`common.sized`); beyond, all texts are dealt once."""
+    # keys and rows alone are dealt, once; most rows have no neighbour under their key and go before the second window
+    every = nodes.select(F.explode(F.arrow_udf(ball, "array<bigint>")("print")).alias("key"), F.col("first.c").alias("row"))
+    line = Window.partitionBy("key").orderBy("row")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = every.select("key", "row", F.lag("row").over(line).alias("before"), F.lead("row").over(line).alias("after"))
+    met = met.filter("before is not null or after is not null")
+    met = met.select("key", "row", F.count(F.lit(1)).over(whole).alias("many"), F.first("row").over(whole).alias("h"),
+                     F.array(*[F.lag("row", i).over(line) for i in range(1, PAIRED)]).alias("others"))
+    crowded = staged(met.select("key", "row", (F.col("many") > PAIRED).alias("large"), F.when(F.col("many") > PAIRED, F.array(F.nullif("h", "row")))
+                                .otherwise(F.col("others")).alias("others")), "crowded")
+    large = crowded.filter("large").select("key", "row")
+    pairs = crowded.select(F.col("row").alias("x"), F.explode("others").alias("y")).filter("y is not null").distinct()
+    known = nodes.select(F.col("first.c").alias("row"), "n", "check")
+    pairs = pairs.join(known.select(F.col("row").alias("x"), F.col("n").alias("nx"), F.col("check").alias("cx")), "x")
+    pairs = pairs.join(known.select(F.col("row").alias("y"), F.col("n").alias("ny"), F.col("check").alias("cy")), "y")
+    likely = sized(F.col("nx"), F.col("ny"), similarity) & (bits_apart(F.col("cx"), F.col("cy")) <= int(APART * 64 * CHECK))
+    pairs = staged(pairs.filter(likely).select("x", "y"), "pairs")
+    rows = staged(pairs.select(F.explode(F.array("x", "y")).alias("row")).union(large.select("row")).distinct(), "rows")
     busy = staged(texts.join(common.sized(rows), "row", "left_semi"), "busy")
-    pairs = staged(met.filter("row <> h and likely").select(F.col("row").alias("x"), F.col("h").alias("y")).distinct(), "pairs")
     linked = staged(_alike(pairs, busy, width, similarity), "alike")
 
     root = components(_edges(linked))
-    placed = staged(met.filter("many > 2").join(root, F.col("row") == F.col("node"), "left").select("key", "row", F.coalesce("root", "row").alias("root")), "placed")
+    placed = staged(large.join(root, F.col("row") == F.col("node"), "left").select("key", "row", F.coalesce("root", "row").alias("root")), "placed")
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"))
     mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("rows", "root"))["root"].alias("top")).filter("groups > 1")
     near = placed.join(mixed, "key").groupBy("row", "root").agg(F.max(F.col("root") != F.col("top")).alias("minor"))
@@ -280,16 +327,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     shingles or more are linked, and of each linked group the one with the smallest id stays (of
     repeated rows with that id one; rows without id come last).
 
-    A fingerprint of 64 bits differs in about 10 bits at a resemblance of 0.8, beyond any radius
-    that balls around segments can search without comparing most texts with most others. So texts
-    meet by bands of least shingle hashes (a pair at 0.8 is missed with probability 0.0002, a closer
-    one with less; a sketch that agrees in too few places adds less than that), distinct texts only,
+    A fingerprint of 64 bits differs in about 10 bits at a resemblance of 0.8, beyond any radius that balls around
+    its segments can search without comparing most texts with most others. So the fingerprints of this stage are wider:
+    a majority bit is again a vote of all shingles, and there are as many segments as `PLACES` says, of some bits more than
+    the number of texts has. Balls turn over the bits whose votes were closest, which are those that differ. A pair
+    at 0.8 is missed with probability 0.0001 (0.0003 where both have five shingles or less), a closer one with less. Distinct texts only,
     and the pairs are checked exactly.
     """
+    segments, bits = layout(docs.count())
     sign, row = fresh(docs, "__sign"), fresh(docs, "__row")
-    marked = staged(_signed(docs, sign, text, width).withColumn(row, F.monotonically_increasing_id()), "marked")
+    marked = staged(_signed(docs, sign, text, width, segments, bits).withColumn(row, F.monotonically_increasing_id()), "marked")
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("a"), F.col(f"`{id_col}`").alias("b"), F.col(row).alias("c"))
-    rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), *(F.col(sign)[c].alias(c) for c in ("n", "keys", "sketch"))).alias("s"))
+    rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), *(F.col(sign)[c].alias(c) for c in ("n", "print", "check"))).alias("s"))
     nodes = staged(rows.groupBy("digest").agg(F.min("s").alias("s")).select("s.*"), "nodes")
     texts = marked.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
     winners = nodes.join(alike(nodes, texts, width, similarity), F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))

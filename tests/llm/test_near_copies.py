@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from posterion.llm import simhash
@@ -91,3 +92,48 @@ def test_groups_of_near_copies_leave_one(spark):
     kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, g int, text string")).orderBy("doc_id").collect()
     assert [k.doc_id for k in kept] == [x for g in range(12) for x in (9 * g, 9 * g + 8)]
     assert simhash.resemblance("a b c d e f", "a b c d e g") == 1 / 3 and simhash.resemblance("A b", "a B") == 1
+
+
+def mixed(h, salt):
+    """splitmix64's finish in plain numbers."""
+    x = (h ^ salt) & (1 << 64) - 1
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & (1 << 64) - 1
+    return x ^ x >> 31
+
+
+def test_wide_fingerprints_are_majorities_of_shingle_bits():
+    r = np.random.default_rng(3)
+    for n in (1, 4, 29, 700):
+        hashes = r.integers(0, 1 << 64, n, dtype=np.uint64)
+        segments, width = 29, 20
+        words = -(-segments * width // 64) + simhash.CHECK
+        votes = [sum(mixed(int(h), int(simhash.MIX[b // 64])) >> b % 64 & 1 for h in hashes) for b in range(64 * words)]
+        own, check = simhash.wide_print(hashes, segments, width)
+        for s, cell in enumerate(own.tolist()):
+            part = votes[s * width:(s + 1) * width]
+            assert cell & (1 << 32) - 1 == sum(1 << k for k, v in enumerate(part) if 2 * v > n)
+            marked = [k for k in range(width) if cell >> 32 + k & 1]
+            assert len(marked) == (4 if n > 30 else 12)
+            assert max(abs(2 * part[k] - n) for k in marked) <= min(abs(2 * part[k] - n) for k in range(width) if k not in marked)
+        assert [c & (1 << 64) - 1 for c in check.tolist()] == [sum(1 << b for b in range(64) if 2 * votes[64 * w + b] > n) for w in range(words - simhash.CHECK, words)]
+
+
+def test_balls_hold_a_segment_and_its_marked_neighbours():
+    got = simhash.ball(pa.array([[0b101 | 0b011 << 32, 7], [], [9 | 1 << 62]], pa.list_(pa.int64()))).to_pylist()
+    assert got == [[0b101, 0b100, 0b111, 1 << 32 | 7], [], [9, 9 | 1 << 30]]
+
+
+def test_pairs_at_the_resemblance_meet_in_a_bucket():
+    """Sets that share 0.8, of 4 to 450 shingles: hardly one of them without a common key, and none too far apart to be compared."""
+    r = np.random.default_rng(5)
+    segments, width = simhash.layout(200_000)
+    assert 1 << width > 32 * 200_000
+    missed = far = 0
+    for a, b, shared in ((4, 5, 4), (9, 9, 8), (20, 25, 20), (45, 45, 40), (160, 200, 160), (450, 450, 400)) * 50:
+        h = r.integers(0, 1 << 64, a + b, dtype=np.uint64)
+        (x, cx), (y, cy) = (simhash.wide_print(s, segments, width) for s in (h[:a], h[a - shared:a - shared + b]))
+        kx, ky = simhash.ball(pa.array([x.tolist(), y.tolist()], pa.list_(pa.int64()))).to_pylist()
+        missed += not set(kx) & set(ky)
+        far += sum(((int(u) ^ int(v)) & (1 << 64) - 1).bit_count() for u, v in zip(cx, cy)) > simhash.APART * 64 * simhash.CHECK
+    assert missed <= 1 and not far
