@@ -25,13 +25,12 @@ from itertools import product
 from math import prod
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from posterion.functions.scalars import VARIANCE_FLOOR, as_double, quoted, state_index, state_text
 from posterion.operators.fit import MAX_STATES, collect_cells, discover, statistics
-from posterion.operators.inference import Batch, fresh_name, inputs, plan_answers, prior_marginals, to_arrays
+from posterion.operators.inference import Batch, fresh_name, inputs, plan_answers, prior_marginals
 from posterion.operators.junction import Engine, log_sum
 from posterion.plans.model import Model
 from posterion.plans.network import Network, Variable
@@ -236,7 +235,9 @@ def _absent(model: KeyedModel, key: str) -> tuple[tuple[str, ...], list[float]]:
                 for c, (i, f) in enumerate(own):
                     # a key that a family has not met is uniform there
                     n = prod(cards[v] for v in f.scope)
-                    values = np.array([v if v is not None else [fill[i]] * n for v in b.column(c).slice(at, step).to_pylist()], float)
+                    met, found = _stacked(b.column(c).slice(at, step), n)
+                    values = np.full((len(met), n), fill[i])
+                    values[met] = found
                     table = table + _aligned(f.scope, values, union, cards)
                 total = np.logaddexp(total, log_sum(np.broadcast_to(table, (len(table), *[cards[v] for v in union])), (0,)).ravel())
         yield pa.RecordBatch.from_pydict({"at": np.arange(size, dtype=np.int32), "value": total})
@@ -305,21 +306,22 @@ def score_keyed(df: DataFrame, model: KeyedModel, queries=None, *, id_col: str |
     touched = frozenset(f.node for f in families if not f.gaussian and f.node not in keys)
     held: list = []
 
-    @F.pandas_udf(schema)
-    def answer(*cols: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(schema)
+    def answer(*cols: pa.Array) -> pa.Array:
         if not held:
             held.append(Engine(base, ones=touched))
         engine, n = held[0], len(cols[0])
-        if not n:
-            return pd.DataFrame({f"a{i}": [] for i in range(len(columns))}, dtype=float)
-        data = to_arrays(base, names, cols)
-        x = {v: cols[len(names) + i].to_numpy(dtype=float) for i, v in enumerate(outside)}
-        extra, lost = _row_factors(families, absent, keys, cards, cols, order, x, n)
-        batch = Batch(engine, requests, data, n, extra=extra)
-        batch.priors = lambda which: prior_marginals(engine, which)
-        out = pd.DataFrame({f"a{i}": of(batch) for i, (_, _, of, _) in enumerate(columns)})
-        out.loc[lost, :] = np.nan
-        return out
+        if n:
+            plain = [c.to_numpy(zero_copy_only=False).astype(float) for c in cols[:len(names) + len(outside)]]
+            given, x = dict(zip(names, plain)), dict(zip(outside, plain[len(names):]))
+            data = {v: given.get(v, np.full(n, np.nan)) for v in base.network.names()}
+            extra, lost = _row_factors(families, absent, keys, cards, cols, order, x, n)
+            batch = Batch(engine, requests, data, n, extra=extra)
+            batch.priors = lambda which: prior_marginals(engine, which)
+            found = [np.where(lost, np.nan, of(batch)) for _, _, of, _ in columns]
+        else:
+            found = [np.empty(0)] * len(columns)
+        return pa.StructArray.from_arrays([pa.array(f.astype(float), pa.float64(), from_pandas=True) for f in found], [f"a{i}" for i in range(len(columns))])
 
     name = fresh_name(rows, "__answers")
     scored = rows.select(*[quoted(c) for c in df.columns], answer(*(sent or [F.lit(0.0)])).alias(name))
@@ -329,12 +331,18 @@ def score_keyed(df: DataFrame, model: KeyedModel, queries=None, *, id_col: str |
     return scored.select(*[quoted(c) for c in keep if c not in taken], *last)
 
 
+def _stacked(lists: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which rows have an array, the arrays of these as one table); gaps in arrays are NaN."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+    return lists.is_valid().to_numpy(zero_copy_only=False), flat.reshape(-1, size)
+
+
 def _row_factors(families, absent, keys, cards, cols, order, x, n):
     """(factors of all keyed columns for a batch, rows that no closed form answers)."""
     extra, lost = [], np.zeros(n, bool)
     for key in keys:
         mark = f"key:{key}"
-        here = ~np.isnan(cols[order[mark]].to_numpy(dtype=float)) if mark in order else np.zeros(n, bool)
+        here = cols[order[mark]].is_valid().to_numpy(zero_copy_only=False) if mark in order else np.zeros(n, bool)
         union, gone = absent[key]
         table = np.zeros((n, *[cards[v] for v in union]))
         table[~here] = np.array(gone, float).reshape([cards[v] for v in union])
@@ -343,25 +351,21 @@ def _row_factors(families, absent, keys, cards, cols, order, x, n):
             if f.key != key:
                 continue
             shape = [cards[v] for v in f.scope]
+            table = np.zeros((n, prod(shape)))
             if f.gaussian:
                 v = x.get(f.node, np.full(n, np.nan))
                 seen = ~np.isnan(v)
                 lost |= seen & ~here
-                table = np.zeros((n, prod(shape)))
-                r = np.flatnonzero(seen & here)
-                if len(r):
-                    met = [cols[order[f"m{i}"]].iloc[j] is not None for j in r]
-                    table[r] = -np.inf           # a Gaussian that was never seen
-                    r = r[met]
-                    if len(r):
-                        m, s = (np.stack([np.asarray(a, float) for a in cols[order[f"{c}{i}"]].iloc[r]]) for c in "mv")
-                        dens = -0.5 * np.log(2 * np.pi * s) - (v[r, None] - m) ** 2 / (2 * s)
-                        table[r] = np.where(np.isnan(dens), -np.inf, dens)
-            else:
-                table = np.zeros((n, prod(shape)))
-                for j in np.flatnonzero(here):
-                    a = cols[order[f"f{i}"]].iloc[j]
-                    # a key that this family has not met is uniform there
-                    table[j] = a if a is not None else (-math.log(cards[f.node]) if f.node != key else -math.inf)
+                table[seen & here] = -np.inf         # a Gaussian that was never seen
+                if mark in order:
+                    (met, m), (_, s) = (_stacked(cols[order[f"{c}{i}"]], prod(shape)) for c in "mv")
+                    with np.errstate(invalid="ignore"):
+                        dens = -0.5 * np.log(2 * np.pi * s) - (v[met, None] - m) ** 2 / (2 * s)
+                    table[seen & here & met] = np.where(np.isnan(dens), -np.inf, dens)[(seen & here)[met]]
+            elif mark in order:
+                met, found = _stacked(cols[order[f"f{i}"]], prod(shape))
+                # a key that this family has not met is uniform there
+                table[here] = -math.log(cards[f.node]) if f.node != key else -math.inf
+                table[here & met] = found[here[met]]
             extra.append((f.scope, table.reshape(n, *shape)))
     return extra, lost

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,22 @@ def test_what_is_refused(spark):
         with pytest.raises(ValueError):
             K.score_keyed(df, model, [q])
     assert K.score_keyed(df.filter("false"), model).count() == 0
+
+
+def test_factors_of_a_batch_come_from_arrow_lists():
+    """Rows without key, with a key of no array, with gaps in the array, without a value: as one table, also from a slice."""
+    families = (K.Family("big", "big", ()), K.Family("c", "big", ("c",)), K.Family("x", "big", ("c",), True))
+    w = pa.array([9., 1., None, 1., 1., 2.])
+    f0, f1 = pa.array([[9.], [-1.], None, None, [-2.], [-3.]]), pa.array([[9., 9.], [-.1, -.2], None, None, [-.3, -.4], [-.5, -.6]])
+    m, v = pa.array([[9., 9.], [0., 1.], None, None, [1., None], [2., 3.]]), pa.array([[9., 9.], [1., 1.], None, None, [2., None], [1., 4.]])
+    cols = [c.slice(1) for c in (w, f0, f1, m, v)]
+    order = {"key:big": 0, "f0": 1, "f1": 2, "m2": 3, "v2": 4}
+    extra, lost = K._row_factors(families, {"big": (("c",), [-5., -6.])}, ("big",), {"c": 2}, cols, order, {"x": np.array([1., 2., 3., 4., np.nan])}, 5)
+    assert lost.tolist() == [False, True, False, False, False]
+    (s0, absent), (s1, own), (s2, listed), (s3, dens) = extra
+    assert (s0, s1, s2, s3) == (("c",), (), ("c",), ("c",))
+    assert absent.tolist() == [[0, 0], [-5, -6], [0, 0], [0, 0], [0, 0]]
+    assert own.tolist() == [-1, 0, -math.inf, -2, -3]
+    assert listed.ravel().tolist() == pytest.approx([-.1, -.2, 0, 0, -math.log(2), -math.log(2), -.3, -.4, -.5, -.6])
+    normal = lambda x, m, v: -.5 * math.log(2 * math.pi * v) - (x - m) ** 2 / (2 * v)
+    assert dens.ravel().tolist() == pytest.approx([normal(1, 0, 1), normal(1, 1, 1), 0, 0, -math.inf, -math.inf, normal(4, 1, 2), -math.inf, 0, 0])
