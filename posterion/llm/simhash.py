@@ -17,6 +17,8 @@ each other; a null id never becomes a component's id unless all its ids are null
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,9 +33,11 @@ SEGMENT = 32
 # of them with probability 0.9999
 PLACES = {20: 29, 21: 33, 22: 39, 23: 45, 24: 51, 25: 59, 26: 68, 27: 80, 28: 92, 29: 106, 30: 124, 31: 142}
 BALL, SHORT = 4, 30         # bits of a segment that a ball turns over; three times as many for texts of at most SHORT shingles
-CHECK, APART = 3, 0.35      # words of the fingerprint that pairs are checked by, and the share of their bits beyond which no text is read
+CHECK, APART = 2, 0.35      # words of the fingerprint that pairs are checked by, and the share of their bits beyond which no text is read
+PREFIX, CELL_BITS = 2, 18   # bits of a segment that name its cell, and the number of texts (as a power of 2) from which they are more
+CROWD = 64                  # rows of a bucket up to which all its pairs are checked by their check words
 MIX = np.random.default_rng(SEED).integers(0, 1 << 64, max(w * n for w, n in PLACES.items()) // 64 + 1 + CHECK, np.uint64)
-PAIRED = 8                  # rows of a bucket up to which all its pairs are checked
+PAIRED = 8                  # rows of a group up to which all its likely pairs are compared
 SALTS = 256
 
 
@@ -143,9 +147,9 @@ def resemblance(a: str | None, b: str | None, width: int = 5) -> float:
 
 
 def layout(rows: int) -> tuple[int, int]:
-    """(segments, bits of a segment) for so many texts: a segment has six bits more than their number, so that most
-    buckets of unlike texts hold one."""
-    width = min(max(rows.bit_length() + 5, min(PLACES)), max(PLACES))
+    """(segments, bits of a segment) for so many texts: 23 bits up to 16 million of them, so that a text has as many
+    keys however many there are, and beyond one bit less than their number, so that a bucket holds some ten unlike texts."""
+    width = min(max(rows.bit_length() - 1, 23), max(PLACES))
     return PLACES[width], width
 
 
@@ -187,6 +191,94 @@ def ball(prints: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends[starts], pa.int32()), pa.array(own[cell] ^ turned[which], pa.int64()))
 
 
+def cells(prints: pa.Array, width: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, segment) of each row's segments: a cell is a segment's number and the first `prefix` of its bits, and
+    a segment goes to each cell that a key of its ball is in, once."""
+    flat, lengths = prints.flatten().to_numpy(zero_copy_only=False).astype(np.int64), prints.value_lengths().to_numpy(zero_copy_only=False)
+    keys = ball(pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1), pa.int32()), pa.array(flat, pa.int64())))
+    at = np.repeat(np.arange(len(flat)), keys.value_lengths().to_numpy(zero_copy_only=False))
+    number = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    own = keys.flatten().to_numpy(zero_copy_only=False) >> width - prefix
+    pairs = np.unique(at << prefix | own)
+    at = pairs >> prefix
+    return np.repeat(np.arange(len(lengths)), lengths)[at], number[at] << prefix | pairs & (1 << prefix) - 1, flat[at]
+
+
+def _dealt(width: int, prefix: int):
+    """Rows (row, n, print, check) become one row for each cell of their segments."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2000):
+                part = batch.slice(first, 2000)
+                at, cell, segment = cells(part.column("print"), width, prefix)
+                words = part.column("check").flatten().to_numpy(zero_copy_only=False).reshape(-1, CHECK)[at]
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(cell), "row": part.column("row").take(pa.array(at)), "n": part.column("n").take(pa.array(at)),
+                                                  "segment": pa.array(segment)} | {f"c{i}": pa.array(words[:, i]) for i in range(CHECK)})
+    return run
+
+
+def joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """The group of each of so many rows: the smallest row that the pairs (a, b) lead to."""
+    label = np.arange(size)
+    while (label[a] != label[b]).any():
+        x, y = label[a], label[b]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label != label[label]).any():
+            label = label[label]
+    return label
+
+
+def _meeting(width: int, prefix: int, similarity: float):
+    """What a cell's rows have to be compared with: (x, y, pair, member).
+
+    A pair of a bucket goes on when its sizes and check words allow it; the rows of a bucket of more than CROWD count as
+    met. Pairs that go on make groups. In a group of up to PAIRED rows they are compared as they are; the rows of a
+    larger one are members of y, its row nearest to the majority of the check words, and are compared with that one."""
+    def run(group: pa.Table) -> pa.Table:
+        prints = group.column("segment").to_numpy()
+        row, n = group.column("row").to_numpy(), group.column("n").to_numpy().astype(np.float64)
+        check = np.stack([group.column(f"c{i}").to_numpy() for i in range(CHECK)], axis=1).view(np.uint64)
+        own = group.column("cell")[0].as_py() & (1 << prefix) - 1
+
+        def close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-6) & (np.bitwise_count(check[x] ^ check[y]).sum(axis=1, dtype=np.int64) <= int(APART * 64 * CHECK))
+
+        lists = ball(pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1), pa.int32()), pa.array(prints, pa.int64())))
+        key, at = lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(prints)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        here = key >> width - prefix == own
+        key, at = key[here], at[here]
+        order = np.lexsort((row[at], key))
+        key, at = key[order], at[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        many = np.repeat(np.diff(np.concatenate([start, [len(key)]])), np.diff(np.concatenate([start, [len(key)]])))
+        first = np.repeat(start, many[start])
+        left = np.where(many > CROWD, 0, first + many - np.arange(len(key)) - 1)        # rows that follow in the same bucket
+
+        found, live = [np.empty((0, 2), np.int64)], np.flatnonzero(left)
+        for step in range(1, CROWD):
+            live = live[left[live] >= step]
+            x, y = at[live], at[live + step]
+            found.append(np.stack([x, y], axis=1)[close(x, y)])
+        pairs = np.unique(np.concatenate(found), axis=0)
+        crowd = many > CROWD
+        label = joined(np.concatenate([pairs[:, 0], at[first[crowd]]]), np.concatenate([pairs[:, 1], at[crowd]]), len(prints))
+        large = np.bincount(label, minlength=len(prints)) > PAIRED
+
+        members = np.flatnonzero(large[label])
+        members = members[np.argsort(label[members], kind="stable")]
+        heads = np.empty(len(members), np.int64)
+        for rows in np.split(np.arange(len(members)), np.flatnonzero(np.diff(label[members])) + 1):
+            words = check[members[rows]]
+            votes = np.unpackbits(words.view(np.uint8).reshape(-1, 8 * CHECK), axis=1).sum(axis=0, dtype=np.int64)
+            apart = np.bitwise_count(words ^ np.packbits(2 * votes > len(rows)).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            heads[rows] = members[rows][np.lexsort((row[members[rows]], apart))[:1]]
+        star = close(members, heads) & (members != heads)
+        few = pairs[~large[label[pairs[:, 0]]]]
+        return pa.table({"x": row[np.concatenate([members, few[:, 1]])], "y": row[np.concatenate([heads, few[:, 0]])],
+                         "pair": np.concatenate([star, np.ones(len(few), bool)]), "member": np.arange(len(members) + len(few)) < len(members)})
+    return run
+
+
 def _signed(docs: DataFrame, name: str, text: str, width: int, segments: int, bits: int) -> DataFrame:
     """The table with struct(digest of the words, n distinct shingles, segments of the wide fingerprint, its check words) in a new column."""
     kind = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("print", pa.list_(pa.int64())), ("check", pa.list_(pa.int64()))])
@@ -222,12 +314,6 @@ def agreeing(a: Column, b: Column, places: int = 64) -> Column:
     return F.lit(places) - total
 
 
-def bits_apart(a: Column, b: Column) -> Column:
-    """How many bits of the check words differ."""
-    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, CHECK)),
-               F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
-
-
 def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (x, y) whose texts (row, text) resemble each other, checked by their words.
 
@@ -275,37 +361,28 @@ def sized(a: Column, b: Column, similarity: float) -> Column:
     return F.least(a, b) >= F.lit(similarity) * F.greatest(a, b) - 1e-6
 
 
-def alike(nodes: DataFrame, texts: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+def alike(nodes: DataFrame, texts: DataFrame, known: int, bits: int, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The groups of nodes (first struct(a, b, c: row), n, print, check): node, root of all rows that have a link.
 
     Multi-index hashing of wide fingerprints: each node is entered under its segments and under the balls around
-    them, so two nodes meet where they are at most two bits apart by bits that were close. In a bucket of up to PAIRED
-    nodes all are compared; in a larger one the first with all others, so a large group of near copies costs one
-    comparison a node. Pairs whose check words are far apart skip the comparison of texts. The links so far make
-    groups. In a large bucket that still holds several, the rows outside its largest one look for partners in the
-    other groups of their buckets, by the prefix filter on rarest shingles, which loses no pair. So two alike nodes
-    of one bucket end in one group, whichever links were compared.
-
-    Only texts of pairs that passed, and of large buckets, are looked at again, in a table of their own. They get there without a
+    them, so two nodes meet where they are at most two bits apart by bits that were close. A segment is dealt once to
+    each cell of its ball, with check words, and its keys are met inside the cell: pairs of unlike texts end there.
+    Likely pairs make the cell's groups. In one of up to PAIRED nodes they are all compared; in a larger one its central
+    node with all others, so a large group of near copies costs a few comparisons a node. The links so far make roots.
+    In a large group that still holds several, the rows outside its largest one look for partners among the others,
+    by the prefix filter on rarest shingles, which loses no pair. So two alike nodes of one bucket end under one root,
+    whichever pairs were compared.
+
+    Only texts of pairs that passed, and of large groups, are looked at again, in a table of their own. They get there without a
     shuffle while their row numbers are few enough to broadcast (`common.sized`); beyond, all texts are dealt once."""
-    # keys and rows alone are dealt, once; most rows have no neighbour under their key and go before the second window
-    every = nodes.select(F.explode(F.arrow_udf(ball, "array<bigint>")("print")).alias("key"), F.col("first.c").alias("row"))
-    line = Window.partitionBy("key").orderBy("row")
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = every.select("key", "row", F.lag("row").over(line).alias("before"), F.lead("row").over(line).alias("after"))
-    met = met.filter("before is not null or after is not null")
-    met = met.select("key", "row", F.count(F.lit(1)).over(whole).alias("many"), F.first("row").over(whole).alias("h"),
-                     F.array(*[F.lag("row", i).over(line) for i in range(1, PAIRED)]).alias("others"))
-    crowded = staged(met.select("key", "row", (F.col("many") > PAIRED).alias("large"), F.when(F.col("many") > PAIRED, F.array(F.nullif("h", "row")))
-                                .otherwise(F.col("others")).alias("others")), "crowded")
-    large = crowded.filter("large").select("key", "row")
-    pairs = crowded.select(F.col("row").alias("x"), F.explode("others").alias("y")).filter("y is not null").distinct()
-    known = nodes.select(F.col("first.c").alias("row"), "n", "check")
-    pairs = pairs.join(known.select(F.col("row").alias("x"), F.col("n").alias("nx"), F.col("check").alias("cx")), "x")
-    pairs = pairs.join(known.select(F.col("row").alias("y"), F.col("n").alias("ny"), F.col("check").alias("cy")), "y")
-    likely = sized(F.col("nx"), F.col("ny"), similarity) & (bits_apart(F.col("cx"), F.col("cy")) <= int(APART * 64 * CHECK))
-    pairs = staged(pairs.filter(likely).select("x", "y"), "pairs")
-    rows = staged(pairs.select(F.explode(F.array("x", "y")).alias("row")).union(large.select("row")).distinct(), "rows")
+    prefix = max(PREFIX, known.bit_length() - CELL_BITS)
+    flat = nodes.filter("n > 0").select(F.col("first.c").alias("row"), "n", "print", "check")
+    entered = flat.mapInArrow(_dealt(bits, prefix), "cell long, row long, n int, segment long, " + ", ".join(f"c{i} long" for i in range(CHECK)))
+    met = entered.groupBy("cell").applyInArrow(_meeting(bits, prefix, similarity), "x long, y long, pair boolean, member boolean")
+    met = staged(met.groupBy("x", "y").agg(F.bool_or("pair").alias("pair"), F.bool_or("member").alias("member")), "met")
+    pairs = met.filter("pair").select("x", "y")
+    large = met.filter("member").select(F.col("y").alias("key"), F.col("x").alias("row"))
+    rows = staged(met.select(F.col("x").alias("row")).union(met.select(F.col("y").alias("row"))).distinct(), "rows")
     busy = staged(texts.join(common.sized(rows), "row", "left_semi"), "busy")
     linked = staged(_alike(pairs, busy, width, similarity), "alike")
 
@@ -329,19 +406,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
 
     A fingerprint of 64 bits differs in about 10 bits at a resemblance of 0.8, beyond any radius that balls around
     its segments can search without comparing most texts with most others. So the fingerprints of this stage are wider:
-    a majority bit is again a vote of all shingles, and there are as many segments as `PLACES` says, of some bits more than
-    the number of texts has. Balls turn over the bits whose votes were closest, which are those that differ. A pair
+    a majority bit is again a vote of all shingles, and there are as many segments as `PLACES` says for the bits of
+    `layout`. Balls turn over the bits whose votes were closest, which are those that differ. A pair
     at 0.8 is missed with probability 0.0001 (0.0003 where both have five shingles or less), a closer one with less. Distinct texts only,
     and the pairs are checked exactly.
     """
-    segments, bits = layout(docs.count())
+    known = docs.count()
+    segments, bits = layout(known)
     sign, row = fresh(docs, "__sign"), fresh(docs, "__row")
     marked = staged(_signed(docs, sign, text, width, segments, bits).withColumn(row, F.monotonically_increasing_id()), "marked")
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("a"), F.col(f"`{id_col}`").alias("b"), F.col(row).alias("c"))
     rows = marked.select(F.col(sign)["digest"].alias("digest"), F.struct(order.alias("first"), *(F.col(sign)[c].alias(c) for c in ("n", "print", "check"))).alias("s"))
     nodes = staged(rows.groupBy("digest").agg(F.min("s").alias("s")).select("s.*"), "nodes")
     texts = marked.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
-    winners = nodes.join(alike(nodes, texts, width, similarity), F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
+    winners = nodes.join(alike(nodes, texts, known, bits, width, similarity), F.col("first.c") == F.col("node"), "left").groupBy(F.coalesce("root", "first.c").alias("root")).agg(F.min("first").alias("first"))
     # those that go are fewer than those that stay
     losers = marked.select(row).join(winners.select(F.col("first.c").alias(row)), row, "left_anti")
     return marked.join(common.sized(staged(losers, "losers")), row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

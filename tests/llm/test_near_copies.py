@@ -137,3 +137,48 @@ def test_pairs_at_the_resemblance_meet_in_a_bucket():
         missed += not set(kx) & set(ky)
         far += sum(((int(u) ^ int(v)) & (1 << 64) - 1).bit_count() for u, v in zip(cx, cy)) > simhash.APART * 64 * simhash.CHECK
     assert missed <= 1 and not far
+
+
+def test_a_text_has_as_many_keys_in_any_table_up_to_16_million():
+    assert simhash.layout(1000) == simhash.layout(44_000) == simhash.layout(220_000) == simhash.layout(16_000_000) == (45, 23)
+    assert simhash.layout(200_000_000)[1] > 23
+
+
+def test_a_large_group_of_near_copies_takes_few_comparisons(spark, monkeypatch):
+    """Copies of one text, each with one word changed: pairs grow with the rows, not with their square or their keys."""
+    r = random.Random(12)
+    base = ["".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(120)]
+    texts = {}
+    for i in range(300):
+        own = list(base)
+        own[r.randrange(120)] = f"w{i}"
+        texts[i] = " ".join(own)
+    compared, alike = [], simhash._alike
+    monkeypatch.setattr(simhash, "_alike", lambda pairs, *rest: compared.append(pairs.count()) or alike(pairs, *rest))
+    kept = {k.doc_id for k in simhash.deduplicated(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == firsts(texts, brute_links(texts))
+    assert compared[0] <= 20 * len(texts)
+
+
+def test_cells_bring_the_same_rows_together_as_keys():
+    r = np.random.default_rng(8)
+    segments, width, prefix = 45, 23, 3
+    prints = []
+    for _ in range(60):
+        h = r.integers(0, 1 << 64, r.integers(1, 60), dtype=np.uint64)
+        prints += [simhash.wide_print(np.unique(x), segments, width)[0].tolist() for x in (h, np.append(h, r.integers(0, 1 << 64, 2, dtype=np.uint64)))]
+    prints = pa.array(prints, pa.list_(pa.int64()))
+    row, cell, segment = simhash.cells(prints, width, prefix)
+    entered = {(a, c, s) for a, c, s in zip(row.tolist(), cell.tolist(), segment.tolist())}
+    want = {(a, (k >> 32) << prefix | (k & 0xFFFFFFFF) >> width - prefix, prints[a][k >> 32].as_py())
+            for a, keys in enumerate(simhash.ball(prints).to_pylist()) for k in keys}
+    assert entered == want and len(row) == len(want)
+
+
+def test_groups_of_pairs():
+    r = np.random.default_rng(2)
+    for size in (1, 10, 500):
+        a, b = r.integers(0, size, (2, size // 2))
+        label = simhash.joined(a, b, size)
+        texts = dict.fromkeys(range(size))
+        assert {i for i in range(size) if label[i] == i} == firsts(texts, set(zip(a.tolist(), b.tolist()))) and (label[a] == label[b]).all()
